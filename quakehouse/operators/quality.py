@@ -244,3 +244,85 @@ def volume_alarm(df: DataFrame, part: Column, limit: int = VOLUME_ALARM_ROWS) ->
     """Rows per slice (e.g. year) and whether it reaches the alarm level."""
     return (df.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n"))
             .select("part", "n", (F.col("n") >= limit).cast("int").alias("alarm")))
+
+
+# ---------------------------------------------------------------- Q12
+def profile_table(df: DataFrame, name: str, exclude: Sequence[str] | None = None,
+                  rules: dict[str, Column] | None = None,
+                  not_null: Sequence[str] = ()) -> DataFrame:
+    """Fill rates, rule violations and NOT NULL violations of one table in ONE scan.
+
+    Returns long rows (section, check_name, subject, value, status).
+    """
+    exclude = FACT_EXCLUDE.get(name, []) if exclude is None else exclude
+    rules = rules or {}
+    cols = attribute_columns(df, exclude)
+    aggs = [F.count(F.lit(1)).alias("__n")]
+    aggs += [F.count(F.col(f"`{c}`")).alias(f"fill::{c}") for c in cols]
+    aggs += [F.count_if(F.coalesce(r, F.lit(False))).alias(f"rule::{k}") for k, r in rules.items()]
+    aggs += [F.count_if(F.col(f"`{c}`").isNull()).alias(f"null::{c}") for c in not_null]
+    one = df.agg(*aggs)
+    names = [a for a in one.columns if a != "__n"]
+    vals = one.select(
+        *[(F.lit(100.0) * F.col(f"`{a}`") / F.nullif(F.col("__n"), F.lit(0))).alias(a)
+          if a.startswith("fill::") else F.col(f"`{a}`").cast("double").alias(a) for a in names],
+        F.col("__n").cast("double").alias("__n"))
+    long = _unpivot(vals, names + ["__n"], "metric", "value")
+    kind = F.split(F.col("metric"), "::").getItem(0)
+    check = F.when(F.col("metric") == "__n", F.lit("rows")).otherwise(
+        F.split(F.col("metric"), "::").getItem(1))
+    section = (F.when(F.col("metric") == "__n", "counts").when(kind == "fill", "completeness")
+               .when(kind == "rule", "validity").otherwise("not_null"))
+    status = (F.when(kind == "fill", status_band("value"))
+              .when(kind.isin("rule", "null"),
+                    F.when(F.col("value") == 0, "PASS").otherwise("FAIL")))
+    return long.select(section.alias("section"), check.alias("check_name"),
+                       F.lit(name).alias("subject"), F.col("value"), status.alias("status"))
+
+
+def quality_metrics(tables: dict[str, DataFrame], stages: dict[str, tuple[DataFrame, str]],
+                    sentinel: str = SENTINEL_ISO) -> DataFrame:
+    """Q12: every check of the report as one long table.
+
+    ``tables`` are the warehouse tables by reference name; ``stages`` maps a
+    staging name to (frame, business key) for the uniqueness checks.
+    """
+    seis, dis = tables["FactSeismic"], tables["FactDisaster"]
+    geo, bridge = tables["DimGeography"], tables["BridgeDisasterSeismic"]
+    seis_nn = ["SeismicKey", "DateKey", "GeographyKey", "MagnitudeKey", "SeismicDepthKey",
+               "Latitude", "Longitude", "Magnitude", "SeismicDepth"]
+    dis_nn = ["DisasterKey", "StartDate", "EndDate", "GeographyKey", "SeverityDeathsKey",
+              "SeverityAffectedKey", "Tsunami"]
+    parts = [
+        profile_table(seis, "FactSeismic", rules=seismic_rules(), not_null=seis_nn),
+        profile_table(dis, "FactDisaster", rules=disaster_rules(), not_null=dis_nn),
+    ]
+    others = {k: v for k, v in tables.items() if k not in ("FactSeismic", "FactDisaster")}
+    parts.append(row_counts(others).select(
+        F.lit("counts").alias("section"), F.lit("rows").alias("check_name"),
+        F.col("table_name").alias("subject"), F.col("row_count").cast("double").alias("value"),
+        F.lit(None).cast("string").alias("status")))
+    res = geo_resolution({"FactSeismic": seis, "FactDisaster": dis}, geo, sentinel)
+    parts.append(res.filter(F.col("is_xin") == 1).select(
+        F.lit("integrity").alias("section"), F.lit("sentinel_share").alias("check_name"),
+        F.col("src").alias("subject"), F.col("share").cast("double").alias("value"),
+        F.lit(None).cast("string").alias("status")))
+    cov = bridge_coverage(dis, bridge)
+    parts.append(cov.select(
+        F.lit("integrity").alias("section"), F.concat(F.lit("links_"), F.col("bucket")).alias("check_name"),
+        F.lit("BridgeDisasterSeismic").alias("subject"), F.col("n_disasters").cast("double").alias("value"),
+        F.lit(None).cast("string").alias("status")))
+    for sname, (sdf, skey) in stages.items():
+        parts.append(duplicate_groups(sdf, [skey]).select(
+            F.lit("uniqueness").alias("section"), F.lit(f"duplicate_{skey}").alias("check_name"),
+            F.lit(sname).alias("subject"), F.col("dup_groups").cast("double").alias("value"),
+            F.when(F.col("dup_groups") == 0, "PASS").otherwise("FAIL").alias("status")))
+    ts = flag_share(dis, "Tsunami").filter(F.col("flag") == 1)
+    parts.append(ts.select(
+        F.lit("profile").alias("section"), F.lit("tsunami_share").alias("check_name"),
+        F.lit("FactDisaster").alias("subject"), F.col("share").cast("double").alias("value"),
+        F.lit(None).cast("string").alias("status")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
