@@ -49,30 +49,46 @@ def lenient_double(c) -> Column:
     return F.when(s.rlike(_NUMERIC_RX), cleaned.try_cast("double"))
 
 
-def float_or_null(c) -> Column:
-    """P5: lenient float, NaN -> NULL (infinity kept, like the source)."""
-    d = lenient_double(c)
+def float_from_double(d) -> Column:
+    """P5 on an already-parsed double: NaN -> NULL (infinity kept, like the source)."""
+    d = _c(d)
     return F.when(~F.isnan(d), d)
 
 
-def _finite(c) -> Column:
-    d = lenient_double(c)
-    return F.when(~F.isnan(d) & (F.abs(d) < F.lit(float("inf"))), d)
+def int_from_double(d) -> Column:
+    """P3 on an already-parsed double: truncate toward zero; negative/NaN/inf -> NULL."""
+    d = _c(d)
+    t = F.when(F.isnan(d) | (F.abs(d) == F.lit(float("inf"))), F.lit(None)) \
+        .when(d >= 0, F.floor(d)).otherwise(F.ceil(d))
+    i = t.try_cast("int")
+    return F.when(i >= 0, i)
+
+
+def bigint_from_double(d) -> Column:
+    """P4 on an already-parsed double: banker's rounding; negative/NaN/inf -> NULL."""
+    d = _c(d)
+    r = F.when(F.isnan(d) | (F.abs(d) == F.lit(float("inf"))), F.lit(None)) \
+        .otherwise(F.bround(d, 0)).try_cast("bigint")
+    return F.when(r >= 0, r)
+
+
+def float_or_null(c) -> Column:
+    """P5: lenient float, NaN -> NULL (infinity kept, like the source)."""
+    return float_from_double(lenient_double(c))
 
 
 def int_or_null(c) -> Column:
-    """Lenient int: truncate toward zero, negatives/junk/NaN/inf -> NULL."""
-    d = _finite(c)
-    t = F.when(d >= 0, F.floor(d)).otherwise(F.ceil(d))
-    i = t.try_cast("int")
-    return F.when(i >= 0, i)
+    """Lenient int: truncate toward zero, negatives/junk/NaN/inf -> NULL.
+
+    For many columns, parse once with :func:`lenient_double` in one projection
+    and apply :func:`int_from_double` in the next (keeps generated code small).
+    """
+    return int_from_double(lenient_double(c))
 
 
 def bigint_or_null(c) -> Column:
     """Lenient bigint with banker's rounding, negatives -> NULL."""
-    d = _finite(c)
-    r = F.bround(d, 0).try_cast("bigint")
-    return F.when(r >= 0, r)
+    return bigint_from_double(lenient_double(c))
 
 
 def clean_str(c, n: int | None = None) -> Column:
@@ -150,10 +166,16 @@ def status_band(pct) -> Column:
 
 
 def epoch_ms_iso(c) -> Column:
-    """Epoch milliseconds -> ISO-8601 UTC text (NULL stays NULL)."""
-    ts = F.timestamp_millis(_c(c).cast("bigint"))
+    """Epoch milliseconds -> ISO-8601 UTC text (NULL stays NULL).
+
+    Like Python's ``isoformat``: the fraction is printed only when non-zero.
+    """
+    ms = _c(c).cast("bigint")
+    ts = F.timestamp_millis(ms)
     utc = F.to_utc_timestamp(ts, F.current_timezone())
-    return F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'")
+    return F.when(F.pmod(ms, F.lit(1000)) == 0,
+                  F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss'+00:00'")) \
+        .otherwise(F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'"))
 
 
 def haversine_km(lat1, lon1, lat2, lon2) -> Column:

@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quakehouse.functions.columns import prefix_date
 from quakehouse.operators.keys import assign_keys
 
 # ---------------------------------------------------------------- fixed values
@@ -125,3 +126,59 @@ def country_master(spark: SparkSession, sf_dir: str) -> DataFrame:
         "CountryDurableKey int, ISO3 string, ISO2 string, CountryName string, SubRegion string, "
         "Region string, GEM_PGA_g double, GeoSeismicZone string")
     return base.unionByName(sentinel)
+
+
+def places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reference places for nearest-place assignment, derived from suppliers.
+
+    Every tenth place has an empty code and every tenth+1 an unknown one.
+    """
+    s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    k = F.col("s_suppkey")
+    iso2 = F.concat(F.lit("Q"), F.substring(F.lit(ISO2_LETTERS), F.col("s_nationkey") + 1, 1))
+    return s.select(
+        k.alias("place_id"),
+        ((k * 37) % 170 - 85).cast("double") + 0.5,
+        ((k * 53) % 350 - 175).cast("double") + 0.25,
+        F.when(k % 10 == 0, F.lit("")).when(k % 10 == 1, F.lit("ZZ")).otherwise(iso2).alias("cc"),
+    ).toDF("place_id", "lat", "lon", "cc")
+
+
+def event_features(stage: DataFrame) -> DataFrame:
+    """Event staging rows as GeoJSON Feature JSON lines (one feature per row)."""
+    day = prefix_date("SrcTime")
+    ms = (F.unix_date(day).cast("bigint") * F.lit(86_400_000))
+    coords = F.when(F.col("Depth").isNull(), F.array("Longitude", "Latitude")) \
+        .otherwise(F.array("Longitude", "Latitude", "Depth"))
+    props = F.struct(
+        ms.alias("time"), F.col("Mag").cast("double").alias("mag"), F.lit("mww").alias("magType"),
+        F.lit("us").alias("net"), ms.alias("updated"),
+        F.concat(F.lit("near "), F.col("ISO3")).alias("place"), F.lit("earthquake").alias("type"),
+        F.lit("reviewed").alias("status"), F.col("Mmi").alias("mmi"), F.col("Sig").alias("sig"),
+        F.col("Cdi").alias("cdi"))
+    feat = F.struct(F.lit("Feature").alias("type"), F.col("EventId").alias("id"),
+                    props.alias("properties"),
+                    F.struct(F.lit("Point").alias("type"), coords.alias("coordinates")).alias("geometry"))
+    return stage.select(F.to_json(feat).alias("value"))
+
+
+# Disaster staging column -> export header used when landing the CSV fixture.
+EXPORT_HEADERS = {
+    "DisNo": "DisNo.", "ISO": "ISO", "Latitude": "Latitude", "Longitude": "Longitude",
+    "StartYear": "Start Year", "StartMonth": "Start Month", "StartDay": "Start Day",
+    "EndYear": "End Year", "EndMonth": "End Month", "EndDay": "End Day",
+    "TotalDeaths": "Total Deaths", "NoInjured": "No. Injured", "NoAffected": "No. Affected",
+    "NoHomeless": "No. Homeless", "TotalAffected": "Total Affected",
+    "TotalDamagesAdj": "Total Damage, Adjusted ('000 US$)",
+    "InsuredDamagesAdj": "Insured Damage, Adjusted ('000 US$)",
+}
+
+
+def disaster_export(stage: DataFrame) -> DataFrame:
+    """Disaster staging rows in the export's shape (text headers, type and associated types)."""
+    k = F.col("StgId")
+    cols = [F.col(c).cast("string").alias(h) for c, h in EXPORT_HEADERS.items()]
+    cols.append(F.when(k % 13 == 0, F.lit(" Flood ")).otherwise(F.lit("Earthquake")).alias("Disaster Type"))
+    cols.append(F.when(F.col("TsunamiFlag") == 1, F.lit("Tsunami|Landslide")).alias("Associated Types"))
+    cols.append(F.col("StartYear").cast("string").alias("Year"))
+    return stage.select(*cols)
