@@ -195,6 +195,39 @@ def haversine_km(lat1, lon1, lat2, lon2) -> Column:
     return F.round(d, 3)
 
 
+def coord(c) -> Column:
+    """A coordinate at the stored precision (5 decimals), as double."""
+    return F.round(_c(c).cast("double"), 5)
+
+
+def cos_lat(lat_deg) -> Column:
+    """cos of a latitude given in (already rounded) degrees."""
+    return F.cos(_rad(_c(lat_deg)))
+
+
+def haversine_parts_km(lat1, lon1, cos1, lat2, lon2, cos2) -> Column:
+    """X1 from per-row parts: rounded coordinates and the cosines of their latitudes.
+
+    Same arithmetic as :func:`haversine_km`, but the rounding and cosines are
+    computed once per input row (before a join) instead of once per pair.
+    """
+    la1, lo1, la2, lo2 = (_c(x) for x in (lat1, lon1, lat2, lon2))
+    a = (F.pow(F.sin(_rad(la2 - la1) / 2), 2)
+         + _c(cos1) * _c(cos2) * F.pow(F.sin(_rad(lo2 - lo1) / 2), 2))
+    a = F.when(a > 1.0, F.lit(1.0)).otherwise(a)
+    d = F.lit(EARTH_RADIUS_KM) * 2.0 * F.atan2(F.sqrt(a), F.sqrt(1.0 - a))
+    return F.round(d, 3)
+
+
+def raw_haversine_parts_km(lat1, lon1, cos1, lat2, lon2, cos2) -> Column:
+    """Unrounded haversine from per-row parts (for nearest-neighbour ranking)."""
+    la1, lo1, la2, lo2 = (_c(x) for x in (lat1, lon1, lat2, lon2))
+    a = (F.pow(F.sin(_rad(la2 - la1) / 2), 2)
+         + _c(cos1) * _c(cos2) * F.pow(F.sin(_rad(lo2 - lo1) / 2), 2))
+    a = F.when(a > 1.0, F.lit(1.0)).otherwise(a)
+    return F.lit(EARTH_RADIUS_KM) * 2.0 * F.atan2(F.sqrt(a), F.sqrt(1.0 - a))
+
+
 def raw_haversine_km(lat1, lon1, lat2, lon2) -> Column:
     """Unrounded haversine on doubles (for nearest-neighbour ranking)."""
     la1, lo1, la2, lo2 = (_c(x).cast("double") for x in (lat1, lon1, lat2, lon2))

@@ -19,7 +19,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quakehouse.functions.columns import date_key, haversine_km, key_to_date
+from quakehouse.functions.columns import coord, cos_lat, date_key, haversine_parts_km, key_to_date
 from quakehouse.operators.dims import CALENDAR_END, CALENDAR_START
 from quakehouse.operators.lookups import keep_where_missing
 
@@ -49,11 +49,14 @@ def build_bridge(disasters: DataFrame, seismic: DataFrame, existing: DataFrame |
         todo = _durable(todo, dim_geo)
         ev = _durable(ev, dim_geo)
     lo, hi = calendar
+    # per-row parts of the distance (rounded coordinates, cosine of latitude) are
+    # computed once per disaster / event, not once per candidate pair
     d = (todo.select(
             "DisasterKey", F.col(match_on).alias("__geo"),
             key_to_date("StartDate").alias("__start"),
-            F.col("Latitude").alias("__dlat"), F.col("Longitude").alias("__dlon"))
+            coord("Latitude").alias("__dlat"), coord("Longitude").alias("__dlon"))
          .filter(F.col("__start").isNotNull())
+         .withColumn("__dcos", cos_lat("__dlat"))
          .withColumn("TimeLagDays", F.explode(F.sequence(F.lit(0), F.lit(int(window_days)))))
          .withColumn("__day", F.date_sub("__start", F.col("TimeLagDays")))
          # the event date must itself be a calendar member
@@ -61,9 +64,10 @@ def build_bridge(disasters: DataFrame, seismic: DataFrame, existing: DataFrame |
          .withColumn("__dk", date_key("__day")))
     s = ev.select(
         "SeismicKey", F.col(match_on).alias("__geo"), F.col("DateKey").alias("__dk"),
-        F.col("Latitude").alias("__slat"), F.col("Longitude").alias("__slon"))
+        coord("Latitude").alias("__slat"), coord("Longitude").alias("__slon"))
+    s = s.withColumn("__scos", cos_lat("__slat"))
     j = d.join(s, ["__geo", "__dk"])
-    dist = haversine_km("__dlat", "__dlon", "__slat", "__slon")
+    dist = haversine_parts_km("__dlat", "__dlon", "__dcos", "__slat", "__slon", "__scos")
     j = j.withColumn("__dist", dist)
     keep = F.col("__dlat").isNull() | (F.col("__dist") <= F.lit(float(radius_km)))
     both = F.col("__dlat").isNotNull() & F.col("__slat").isNotNull()
