@@ -319,13 +319,12 @@ _QM_PARTS = (
     + _profile_sql("disaster_fact", "FactDisaster", DIS_ATTRS, DIS_RULES_SQL, DIS_NOT_NULL)
     + [f"select 'counts', 'rows', '{n}', cast(count(*) as double), cast(null as varchar) from {t}"
        for n, t in OTHER_TABLES_SQL.items()]
-    + ["""select 'integrity', 'sentinel_share', src, cast(share as double), cast(null as varchar) from (
-  select src, is_xin, n / sum(n) over (partition by src) as share from (
-    select src, case when ISO = 'XIN' then 1 else 0 end as is_xin, count(*) as n from (
-      select 'FactSeismic' as src, g.ISO from seismic_fact f join dim_geo g on g.GeographyKey = f.GeographyKey
-      union all
-      select 'FactDisaster' as src, g.ISO from disaster_fact f join dim_geo g on g.GeographyKey = f.GeographyKey) x
-    group by 1, 2) y) z where is_xin = 1""",
+    + ["""select 'integrity', 'sentinel_share', src,
+  cast(sum(case when ISO = 'XIN' then 1 else 0 end) as double) / nullif(count(*), 0), cast(null as varchar) from (
+    select 'FactSeismic' as src, g.ISO from seismic_fact f join dim_geo g on g.GeographyKey = f.GeographyKey
+    union all
+    select 'FactDisaster' as src, g.ISO from disaster_fact f join dim_geo g on g.GeographyKey = f.GeographyKey) x
+  group by src""",
        """select 'integrity', concat('links_', b.bucket), 'BridgeDisasterSeismic', cast(coalesce(c.k, 0) as double), cast(null as varchar)
 from (values ('0'), ('1'), ('2-5'), ('6-10'), ('>10')) b(bucket)
 left join (
@@ -339,6 +338,6 @@ left join (
 from (select {key} from {name} group by {key} having count(*) > 1) x"""
        for name, key in (("event_stage", "EventId"), ("disaster_stage", "DisNo"))]
     + ["""select 'profile', 'tsunami_share', 'FactDisaster', cast(count(*) filter (where Tsunami = 1) as double) / count(*),
-  cast(null as varchar) from disaster_fact having count(*) filter (where Tsunami = 1) > 0"""]
+  cast(null as varchar) from disaster_fact"""]
 )
 oracle("quality_metrics", _union(_QM_PARTS))
