@@ -17,6 +17,7 @@ from quakehouse.plans import fixtures as FX
 from quakehouse.plans.catalog import _wh, query
 from quakehouse.plans.oracle import hv
 from quakehouse.plans.queries_sql import oracle
+from quakehouse.session import scratch_path
 
 # ---------------------------------------------------------------- fixed values
 # Official renames applied in the SCD2 change scenario, and its load date.
@@ -332,7 +333,11 @@ def rebuild(spark, sf_dir):
     """Dedup disaster staging by DisNo, rebuild fact + bridge from scratch, report counts."""
     w = _wh(spark, sf_dir)
     stage = FA.keep_first(w.disaster_stage, ["DisNo"])
-    fact = FA.fact_disaster(stage, w.dim_geo, w.deaths_bands, w.affected_bands, w.dim_date).fact
+    # the repair replaces the stored fact; later steps read the stored table
+    path = scratch_path(spark, "rebuilt_fact_disaster")
+    FA.fact_disaster(stage, w.dim_geo, w.deaths_bands, w.affected_bands, w.dim_date) \
+        .fact.write.parquet(path)
+    fact = spark.read.parquet(path)
     br = B.build_bridge(fact, w.fact_seismic)
     distinct = fact.select("StartDate", "GeographyKey", "TotalDeaths").distinct()
     parts = [("FactDisaster", fact), ("FactDisaster distinct date+geo+deaths", distinct),

@@ -143,14 +143,14 @@ select s.StgId as SeismicKey, s.StgId, {dkey('s.dt')} as DateKey,
   cast(s.Mag as decimal(4,2)) as Magnitude, cast(s.Depth as decimal(7,2)) as SeismicDepth,
   cast(s.Mmi as decimal(4,2)) as ModifiedMercalliIntensity, s.Sig as SignificanceScore,
   cast(s.Cdi as decimal(3,1)) as CommunityDecimalIntensity
-from (select *, {to_date_txt('left(SrcTime, 10)')} as dt from event_stage) s
+from (select *, try_cast(left(SrcTime, 10) as date) as dt from event_stage) s
 left join dim_geo g on g.ISO = s.ISO3 and g.IsCurrent = 1
 join mag_bands m on cast(s.Mag as decimal(4,2)) >= m.LowerBound and cast(s.Mag as decimal(4,2)) < m.UpperBound
 join depth_bands d on coalesce(s.Depth, 0) >= d.LowerBoundKM and coalesce(s.Depth, 0) < d.UpperBoundKM
 where s.dt is not null
 """
 CTES["seismic_marks"] = f"""
-select StgId from event_stage where {to_date_txt('left(SrcTime, 10)')} is not null
+select StgId from event_stage where try_cast(left(SrcTime, 10) as date) is not null
 """
 
 _START = make_date("e.StartYear", "coalesce(e.StartMonth, 1)", "coalesce(e.StartDay, 1)")
