@@ -30,6 +30,9 @@ def build_session(master: str | None = None, app: str = "quakehouse",
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # fused methods above the JVM's JIT limit would run interpreted; fall back
+        # to per-operator code for those stages instead
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
