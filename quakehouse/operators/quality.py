@@ -246,6 +246,20 @@ def volume_alarm(df: DataFrame, part: Column, limit: int = VOLUME_ALARM_ROWS) ->
             .select("part", "n", (F.col("n") >= limit).cast("int").alias("alarm")))
 
 
+def scd2_checks(dim: DataFrame, key: str = "CountryDurableKey") -> DataFrame:
+    """SCD2 invariants of a versioned dimension (Q-16): durable keys with more than
+    one current row, and closed rows whose ValidTo precedes their ValidFrom."""
+    per_key = dim.groupBy(key).agg(F.sum("IsCurrent").alias("__cur"))
+    multi = per_key.agg(F.count_if(F.col("__cur") > 1).alias("value")).select(
+        F.lit("scd2_multiple_current").alias("check_name"), "value")
+    inverted = dim.agg(F.count_if(F.col("ValidTo") < F.col("ValidFrom")).alias("value")).select(
+        F.lit("scd2_valid_to_before_from").alias("check_name"), "value")
+    return multi.unionByName(inverted).select(
+        F.lit("integrity").alias("section"), "check_name", F.lit("DimGeography").alias("subject"),
+        F.col("value").cast("double").alias("value"),
+        F.when(F.col("value") == 0, "PASS").otherwise("FAIL").alias("status"))
+
+
 # ---------------------------------------------------------------- Q12
 def profile_table(df: DataFrame, name: str, exclude: Sequence[str] | None = None,
                   rules: dict[str, Column] | None = None,
@@ -344,6 +358,7 @@ def quality_metrics(tables: dict[str, DataFrame], stages: dict[str, tuple[DataFr
             F.lit("uniqueness").alias("section"), F.lit(f"duplicate_{skey}").alias("check_name"),
             F.lit(sname).alias("subject"), F.col("dup_groups").cast("double").alias("value"),
             F.when(F.col("dup_groups") == 0, "PASS").otherwise("FAIL").alias("status")))
+    parts.append(scd2_checks(geo))
     ts = dis_p.agg((F.sum(F.col("`flag::Tsunami`")) / F.nullif(F.sum("__n"), F.lit(0))).alias("value"))
     parts.append(ts.select(
         F.lit("profile").alias("section"), F.lit("tsunami_share").alias("check_name"),

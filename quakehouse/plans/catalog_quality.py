@@ -337,6 +337,12 @@ left join (
   case when count(*) = 0 then 'PASS' else 'FAIL' end
 from (select {key} from {name} group by {key} having count(*) > 1) x"""
        for name, key in (("event_stage", "EventId"), ("disaster_stage", "DisNo"))]
+    + ["""select 'integrity', 'scd2_multiple_current', 'DimGeography', cast(count(*) filter (where c > 1) as double),
+  case when count(*) filter (where c > 1) = 0 then 'PASS' else 'FAIL' end
+from (select CountryDurableKey, sum(IsCurrent) as c from dim_geo group by CountryDurableKey) x""",
+       """select 'integrity', 'scd2_valid_to_before_from', 'DimGeography',
+  cast(count(*) filter (where ValidTo < ValidFrom) as double),
+  case when count(*) filter (where ValidTo < ValidFrom) = 0 then 'PASS' else 'FAIL' end from dim_geo"""]
     + ["""select 'profile', 'tsunami_share', 'FactDisaster', cast(count(*) filter (where Tsunami = 1) as double) / count(*),
   cast(null as varchar) from disaster_fact"""]
 )
