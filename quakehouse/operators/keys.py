@@ -59,20 +59,22 @@ def assign_keys(df: DataFrame, order_by: list[str], name: str = "key",
     keys = df.select(*order_by)
     bounds: list = []
     if buckets > 1:
-        total = keys.count()
-        if total > 0:
-            frac = min(1.0, _SAMPLE_PER_BUCKET * buckets / total)
-            sample = keys.sample(False, frac, seed).orderBy(*order_by).collect()
-            if sample:
-                step = len(sample) / buckets
-                picked = {int(step * i) for i in range(1, buckets)}
-                bounds = [tuple(sample[j]) for j in sorted(picked) if j < len(sample)]
-                # distinct boundaries only
-                dedup = []
-                for b in bounds:
-                    if not dedup or dedup[-1] != b:
-                        dedup.append(b)
-                bounds = dedup
+        # one pass: a uniform random sample of bounded size (top-m by a random
+        # tag keeps at most m rows per task), then ordered by the key
+        m = _SAMPLE_PER_BUCKET * buckets
+        sample = (keys.withColumn("__qh_r", F.rand(seed)).orderBy("__qh_r").limit(m)
+                  .drop("__qh_r").orderBy(*[F.col(c).asc_nulls_first() for c in order_by])
+                  .collect())
+        if sample:
+            step = len(sample) / buckets
+            picked = {int(step * i) for i in range(1, buckets)}
+            bounds = [tuple(sample[j]) for j in sorted(picked) if j < len(sample)]
+            # distinct boundaries only
+            dedup = []
+            for b in bounds:
+                if not dedup or dedup[-1] != b:
+                    dedup.append(b)
+            bounds = dedup
     bcol = "__qh_bucket"
     tagged = df.withColumn(bcol, _bucket_expr(order_by, bounds, 0, len(bounds)))
     counts = tagged.groupBy(bcol).agg(F.count(F.lit(1)).alias("__qh_n"))
