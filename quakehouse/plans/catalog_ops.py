@@ -15,7 +15,7 @@ from quakehouse.operators import ingest as I
 from quakehouse.operators.keys import assign_keys
 from quakehouse.plans import fixtures as FX
 from quakehouse.plans.catalog import _wh, query
-from quakehouse.plans.oracle import hv
+from quakehouse.plans.oracle import hv, key_date
 from quakehouse.plans.queries_sql import oracle
 from quakehouse.session import scratch_path
 
@@ -93,6 +93,39 @@ where CountryDurableKey in (select CountryDurableKey from dim_geo2 group by Coun
 """, _SCD2_CTES)
 
 
+@query("bridge_durable")
+def bridge_durable(spark, sf_dir):
+    """J9/U6 with Q-9's option: disasters promoted after the renames (new version
+    keys) still meet events loaded under the old versions, by durable country key."""
+    w = _wh(spark, sf_dir)
+    dim2 = _renamed_dim(w)
+    dis2 = FA.fact_disaster(w.disaster_stage, dim2, w.deaths_bands, w.affected_bands, w.dim_date).fact
+    return B.build_bridge(dis2, w.fact_seismic, match_on="CountryDurableKey", dim_geo=dim2)
+
+
+_DURABLE_CTES = dict(_SCD2_CTES)
+_DURABLE_CTES["disaster_fact2"] = """
+select e.StgId as DisasterKey, e.sdate, e.Latitude, e.Longitude, coalesce(g.GeographyKey, (select k from xin_key)) as GeographyKey
+from disaster_dates e left join dim_geo2 g on g.ISO = e.ISO and g.IsCurrent = 1
+where e.StartYear is not null and e.StartYear between 1900 and 2030
+  and exists (select 1 from calendar c where c.DateKey = year(e.sdate) * 10000 + month(e.sdate) * 100 + day(e.sdate))
+"""
+
+oracle("bridge_durable", f"""
+select cast(d.DisasterKey as bigint) as DisasterKey, cast(s.SeismicKey as bigint) as SeismicKey,
+  case when d.Latitude is not null and s.Latitude is not null
+       then {hv('cast(d.Latitude as decimal(8,5))', 'cast(d.Longitude as decimal(9,5))', 's.Latitude', 's.Longitude')} end as DistanceKM,
+  cast(date_diff('day', s.sday, d.sdate) as bigint) as TimeLagDays
+from disaster_fact2 d
+join dim_geo2 gd on gd.GeographyKey = d.GeographyKey
+join (select f.*, {key_date('f.DateKey')} as sday, g.CountryDurableKey
+      from seismic_fact f join dim_geo2 g on g.GeographyKey = f.GeographyKey) s
+  on s.CountryDurableKey = gd.CountryDurableKey and s.sday between d.sdate - interval 3 day and d.sdate
+where s.sday between date '1990-01-01' and date '2030-12-31'
+  and (d.Latitude is null or {hv('cast(d.Latitude as decimal(8,5))', 'cast(d.Longitude as decimal(9,5))', 's.Latitude', 's.Longitude')} <= 100)
+""", _DURABLE_CTES)
+
+
 @query("surrogate_keys")
 def surrogate_keys(spark, sf_dir):
     """K1/K2: dense keys in the order of a unique tuple, without a single-partition window."""
