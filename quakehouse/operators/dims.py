@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from quakehouse.functions.columns import SENTINEL_ISO, date_key
 from quakehouse.operators.keys import assign_keys
+from quakehouse.session import checkpoint_root
 
 # ---------------------------------------------------------------- fixed values
 # Calendar range of the warehouse.
@@ -167,6 +168,10 @@ def scd2_apply(dim: DataFrame, incoming: DataFrame, as_of: _dt.date | str,
         F.col(key).cast("bigint").alias(key), F.col("ISO3").alias("ISO"), "CountryName",
         "SubRegion", "Region", "GeoSeismicZone",
         F.col("GEM_PGA_g").cast("decimal(4,3)").alias("GEM_PGA_g"))
+    # the incoming set is bounded (one row per country of the reference list) and
+    # is used three times below: materialize it once in the shared checkpoint folder
+    checkpoint_root(incoming.sparkSession)
+    inc = inc.checkpoint(eager=True)
     cur = dim.filter(F.col("IsCurrent") == 1)
     known = dim.select(key).distinct()
 

@@ -98,7 +98,8 @@ def bridge_durable(spark, sf_dir):
     """J9/U6 with Q-9's option: disasters promoted after the renames (new version
     keys) still meet events loaded under the old versions, by durable country key."""
     w = _wh(spark, sf_dir)
-    dim2 = _renamed_dim(w)
+    # the dimension after the renames is a stored table, as after every load
+    dim2 = w.stored("dim_geo_renamed", lambda: _renamed_dim(w))
     dis2 = FA.fact_disaster(w.disaster_stage, dim2, w.deaths_bands, w.affected_bands, w.dim_date).fact
     return B.build_bridge(dis2, w.fact_seismic, match_on="CountryDurableKey", dim_geo=dim2)
 

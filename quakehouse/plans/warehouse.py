@@ -88,7 +88,9 @@ class Warehouse:
 
     @cached_property
     def codes(self) -> DataFrame:
-        return D.staged_codes(self.event_stage.select("ISO3"), self.disaster_stage.select("ISO"))
+        """Distinct staged country codes (the source's temp table of incoming codes)."""
+        return self.stored("codes", lambda: D.staged_codes(self.event_stage.select("ISO3"),
+                                                            self.disaster_stage.select("ISO")))
 
     @cached_property
     def incoming(self) -> DataFrame:
