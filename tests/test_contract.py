@@ -19,6 +19,16 @@ def test_every_oracle_has_a_query():
     assert set(E.oracle_sql()) <= set(E.queries())
 
 
+FORBIDDEN = ["CartesianProduct", "BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas",
+             "MapInPandas"]
+
+
+@pytest.mark.parametrize("name", sorted(E.queries()))
+def test_plan_has_no_cartesian_or_python(spark, name):
+    plan = E.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert not [f for f in FORBIDDEN if f in plan]
+
+
 @pytest.mark.parametrize("name", sorted(E.queries()))
 def test_query_matches_oracle(spark, name):
     con = duck(SF)
