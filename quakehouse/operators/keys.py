@@ -2,17 +2,20 @@
 
 ``row_number() over (order by k)`` moves every row into one task. Instead:
 
-1. sample the (unique) order key and pick ``buckets - 1`` range boundaries; the
-   sample is bounded by the bucket count, not by the data;
-2. tag every row with its range bucket through a balanced ``when`` tree
-   (log2(buckets) comparisons per row, pure codegen);
-3. count rows per bucket (a partial+final aggregate -> ``buckets`` rows) and
-   turn the counts into running offsets on that tiny frame;
-4. ``row_number`` inside each bucket (shuffle on the bucket only) + offset.
-
-The result equals ``start + row_number() over (order by keys)`` exactly when the
-order key is unique. Bucket assignment is a deterministic expression, so a lost
-task recomputes the same keys.
+1. range-partition and sort by the (unique) order key with Spark's own
+   range partitioner (sampled bounds, binary search per row, any number of
+   partitions) - the sort every keyed load needs anyway;
+2. tag each row with its partition id and its position in the partition
+   (``monotonically_increasing_id`` = partition << 33 | position);
+3. materialize that once with ``checkpoint()`` in the shared checkpoint
+   folder: range sampling is not repeatable, so counts and keys must come from
+   the same stored rows (this also cuts lineage: a lost executor re-reads them);
+4. count rows per partition (one row per partition), prefix-sum the counts on
+   that tiny frame and broadcast the offsets;
+5. key = start + offset(partition) + position + 1.
+
+The result equals ``start + row_number() over (order by keys)`` exactly when
+the order key is unique (NULLs first, like Spark's ascending order).
 """
 
 from __future__ import annotations
@@ -20,79 +23,39 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_SAMPLE_PER_BUCKET = 64
-
-
-def _lt(cols: list[str], row) -> Column:
-    """Lexicographic ``(cols) < row`` with NULLs ordered first (Spark default)."""
-    expr = None
-    for i in range(len(cols) - 1, -1, -1):
-        c = F.col(cols[i])
-        v = row[i]
-        if v is None:
-            lt = F.lit(False)
-            eq = c.isNull()
-        else:
-            lt = c.isNull() | (c < F.lit(v))
-            eq = c.isNotNull() & (c == F.lit(v))
-        expr = lt if expr is None else (lt | (eq & expr))
-    return expr
-
-
-def _bucket_expr(cols: list[str], bounds: list, lo: int, hi: int) -> Column:
-    """Bucket index in [lo, hi] for sorted boundaries bounds[lo:hi]."""
-    if lo >= hi:
-        return F.lit(lo)
-    mid = (lo + hi) // 2
-    return F.when(_lt(cols, bounds[mid]), _bucket_expr(cols, bounds, lo, mid)) \
-        .otherwise(_bucket_expr(cols, bounds, mid + 1, hi))
+from quakehouse.session import checkpoint_root
 
 
 def assign_keys(df: DataFrame, order_by: list[str], name: str = "key",
-                start: int | Column = 0, buckets: int | None = None,
-                seed: int = 17) -> DataFrame:
-    """Add ``name`` = start + dense rank of the unique ``order_by`` tuple (1-based)."""
+                start: int | Column = 0, buckets: int | None = None) -> DataFrame:
+    """Add ``name`` = start + dense rank of the unique ``order_by`` tuple (1-based).
+
+    ``buckets=1`` is for inputs with a known small bound (a dimension): one
+    ordered window, no materialization.
+    """
     spark = df.sparkSession
-    if buckets is None:
-        buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    buckets = max(1, buckets)
-    keys = df.select(*order_by)
-    bounds: list = []
-    if buckets > 1:
-        # one pass: a uniform random sample of bounded size (top-m by a random
-        # tag keeps at most m rows per task), then ordered by the key
-        m = _SAMPLE_PER_BUCKET * buckets
-        sample = (keys.withColumn("__qh_r", F.rand(seed)).orderBy("__qh_r").limit(m)
-                  .drop("__qh_r").orderBy(*[F.col(c).asc_nulls_first() for c in order_by])
-                  .collect())
-        if sample:
-            step = len(sample) / buckets
-            picked = {int(step * i) for i in range(1, buckets)}
-            bounds = [tuple(sample[j]) for j in sorted(picked) if j < len(sample)]
-            # distinct boundaries only
-            dedup = []
-            for b in bounds:
-                if not dedup or dedup[-1] != b:
-                    dedup.append(b)
-            bounds = dedup
-    bcol = "__qh_bucket"
-    tagged = df.withColumn(bcol, _bucket_expr(order_by, bounds, 0, len(bounds)))
-    counts = tagged.groupBy(bcol).agg(F.count(F.lit(1)).alias("__qh_n"))
-    # offsets over at most len(bounds)+1 rows: a single-partition window is fine here
-    offsets = counts.select(
-        bcol,
-        (F.sum("__qh_n").over(Window.orderBy(bcol)) - F.col("__qh_n")).alias("__qh_off"),
-    )
     start_col = start if isinstance(start, Column) else F.lit(start)
-    w = Window.partitionBy(bcol).orderBy(*[F.col(c).asc_nulls_first() for c in order_by])
-    out = (
-        tagged.join(F.broadcast(offsets), bcol)
-        .withColumn(name, (start_col + F.col("__qh_off") + F.row_number().over(w)).cast("bigint"))
-        .drop(bcol, "__qh_off")
-    )
-    return out
+    order = [F.col(c).asc_nulls_first() for c in order_by]
+    if buckets == 1:
+        return df.withColumn(name, (start_col + F.row_number().over(Window.orderBy(*order)))
+                             .cast("bigint"))
+    parts = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    checkpoint_root(spark)
+    tagged = (df.repartitionByRange(max(1, parts), *order).sortWithinPartitions(*order)
+              .withColumn("__qh_pid", F.spark_partition_id())
+              .withColumn("__qh_pos", F.monotonically_increasing_id())
+              .checkpoint(eager=True))
+    counts = tagged.groupBy("__qh_pid").agg(F.count(F.lit(1)).alias("__qh_n"))
+    # one row per partition: a single-partition window over it is fine
+    offsets = counts.select(
+        "__qh_pid",
+        (F.sum("__qh_n").over(Window.orderBy("__qh_pid")) - F.col("__qh_n")).alias("__qh_off"))
+    pos = F.col("__qh_pos") - F.shiftleft(F.col("__qh_pid").cast("bigint"), 33)
+    return (tagged.join(F.broadcast(offsets), "__qh_pid")
+            .withColumn(name, (start_col + F.col("__qh_off") + pos + 1).cast("bigint"))
+            .drop("__qh_pid", "__qh_pos", "__qh_off"))
 
 
 def next_key_start(existing: DataFrame, key: str) -> Column:
     """Scalar column: current max key (0 when empty), for keys continuing a sequence."""
-    return F.coalesce(F.max(F.col(key)), F.lit(0)).cast("bigint")
+    return existing.select(F.coalesce(F.max(F.col(key)), F.lit(0)).cast("bigint")).scalar()

@@ -89,7 +89,13 @@ def main(argv):
     names = [a for a in argv[1:] if not a.startswith("/")]
     import __spark_entry__ as E
     from quakehouse.session import build_session
-    spark = build_session()
+    if os.environ.get("PLAIN_SESSION"):
+        # a session with Spark's defaults only (as a caller might create it)
+        from pyspark.sql import SparkSession
+        spark = SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false").getOrCreate()
+        spark.sparkContext.setLogLevel("ERROR")
+    else:
+        spark = build_session()
     con = duck(sf_dir)
     qs, oracle = E.queries(), E.oracle_sql()
     ok_all = True
