@@ -25,6 +25,7 @@ from quakehouse.operators import dims as D
 from quakehouse.operators import facts as FA
 from quakehouse.plans import fixtures as FX
 from quakehouse.session import scratch_path
+from quakehouse.sources import sinks
 
 # ---------------------------------------------------------------- fixed values
 # Load date used for the first dimension load in the derived test warehouse.
@@ -41,25 +42,36 @@ class Warehouse:
     key_mode: str = "stgid"
 
     # ------------------------------------------------------------ storage
-    def stored(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-        """Write ``build()`` once per session under the shared folder; read it back."""
+    def stored(self, name: str, build: Callable[[], DataFrame],
+               partition_by: str | None = None) -> DataFrame:
+        """Write ``build()`` once per session under the shared folder; read it back.
+
+        Staging tables are partitioned by their load batch, like the batch sink,
+        so batch/year filters prune files.
+        """
         key = (self.spark.sparkContext.applicationId, self.sf_dir.rstrip("/"),
                self.as_of, self.key_mode, name)
         path = _STORED.get(key)
         if path is None:
             path = scratch_path(self.spark, name)
-            build().write.mode("overwrite").parquet(path)
+            df = build()
+            if partition_by:
+                sinks.append_batch(df, path, partition_by)
+            else:
+                df.write.mode("overwrite").parquet(path)
             _STORED[key] = path
         return self.spark.read.parquet(path)
 
     # ------------------------------------------------------------ inputs
     @cached_property
     def event_stage(self) -> DataFrame:
-        return self.stored("event_stage", lambda: FX.event_stage(self.spark, self.sf_dir))
+        return self.stored("event_stage", lambda: FX.event_stage(self.spark, self.sf_dir),
+                           partition_by="LoadBatchId")
 
     @cached_property
     def disaster_stage(self) -> DataFrame:
-        return self.stored("disaster_stage", lambda: FX.disaster_stage(self.spark, self.sf_dir))
+        return self.stored("disaster_stage", lambda: FX.disaster_stage(self.spark, self.sf_dir),
+                           partition_by="LoadBatchId")
 
     @cached_property
     def master(self) -> DataFrame:
