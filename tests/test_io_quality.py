@@ -35,6 +35,23 @@ def test_disaster_csv_bom_renames_missing(spark, tmpdir_path):
     assert "StartYear" in df.columns and r.StartYear is None
 
 
+def test_country_master_and_observed_write(spark, tmpdir_path):
+    from quakehouse.sources.readers import read_country_master
+    from quakehouse.sources.sinks import observed_write
+    p = os.path.join(tmpdir_path, "master.csv")
+    with open(p, "w") as fh:
+        fh.write("CountryDurableKey,ISO3,ISO2,CountryName,SubRegion,Region,GEM_PGA_g,GeoSeismicZone\n")
+        fh.write("1,XIN,,International Waters,Ocean,Ocean,,Very Low\n")
+        fh.write("2,JPN,JP,Japan,Eastern Asia,Asia,0.45,Very High\n")
+    m = read_country_master(spark, p)
+    rows = {r.ISO3: r for r in m.collect()}
+    assert rows["JPN"].GEM_PGA_g == 0.45 and rows["XIN"].ISO2 is None
+    counters = observed_write(m, os.path.join(tmpdir_path, "out"),
+                              with_code=F.count_if(F.col("ISO2").isNotNull()))
+    assert counters == {"rows": 2, "with_code": 1}
+    assert spark.read.parquet(os.path.join(tmpdir_path, "out")).count() == 2
+
+
 def test_resume_year(spark):
     cases = [(None, dt.date(2024, 5, 1), 2000), (dt.date(2023, 12, 31), dt.date(2024, 5, 1), 2024),
              (dt.date(2024, 5, 1), dt.date(2024, 5, 1), 2024)]
