@@ -5,13 +5,13 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quakehouse.functions.columns import SENTINEL_ISO, date_key
 from quakehouse.operators.keys import assign_keys
-from quakehouse.session import checkpoint_root
+from quakehouse.session import materialize
 
 # ---------------------------------------------------------------- fixed values
 # Calendar range of the warehouse.
@@ -170,8 +170,7 @@ def scd2_apply(dim: DataFrame, incoming: DataFrame, as_of: _dt.date | str,
         F.col("GEM_PGA_g").cast("decimal(4,3)").alias("GEM_PGA_g"))
     # the incoming set is bounded (one row per country of the reference list) and
     # is used three times below: materialize it once in the shared checkpoint folder
-    checkpoint_root(incoming.sparkSession)
-    inc = inc.checkpoint(eager=True)
+    inc = materialize(inc, "scd2_incoming")
     cur = dim.filter(F.col("IsCurrent") == 1)
     known = dim.select(key).distinct()
 
@@ -201,13 +200,16 @@ def scd2_apply(dim: DataFrame, incoming: DataFrame, as_of: _dt.date | str,
                 F.when(is_closing, F.date_sub(as_of_col, 1)).otherwise(F.col("ValidTo")).alias("ValidTo"),
                 F.when(is_closing, F.lit(0)).otherwise(F.col("IsCurrent")).alias("IsCurrent"),
                 "GeoSeismicZone", "GEM_PGA_g", key))
-    return kept.unionByName(opened).select(*GEO_COLUMNS)
+    # the new dimension version is written to a new path and read back (never
+    # overwrite a path being read); later joins then start from a plain scan
+    return materialize(kept.unionByName(opened).select(*GEO_COLUMNS), "dim_version")
 
 
 def multi_version(dim: DataFrame, key: str = "CountryDurableKey") -> DataFrame:
     """U13 listing: all versions of durable keys that have more than one row."""
-    many = dim.groupBy(key).count().filter(F.col("count") > 1).select(key)
-    return (dim.join(many, key, "left_semi")
+    # one pass partitioned by the durable key (no self-join)
+    n = F.count(F.lit(1)).over(Window.partitionBy(key))
+    return (dim.withColumn("__qh_versions", n).filter(F.col("__qh_versions") > 1)
             .select(key, "GeographyKey", "CountryName", "ISO", "ValidFrom", "ValidTo", "IsCurrent"))
 
 

@@ -7,9 +7,9 @@
    partitions) - the sort every keyed load needs anyway;
 2. tag each row with its partition id and its position in the partition
    (``monotonically_increasing_id`` = partition << 33 | position);
-3. materialize that once with ``checkpoint()`` in the shared checkpoint
-   folder: range sampling is not repeatable, so counts and keys must come from
-   the same stored rows (this also cuts lineage: a lost executor re-reads them);
+3. write that once as a table in the shared checkpoint folder and read it back:
+   range sampling is not repeatable, so counts and keys must come from the same
+   stored rows (this also cuts lineage: a lost executor re-reads them);
 4. count rows per partition (one row per partition), prefix-sum the counts on
    that tiny frame and broadcast the offsets;
 5. key = start + offset(partition) + position + 1.
@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quakehouse.session import checkpoint_root
+from quakehouse.session import materialize
 
 
 def assign_keys(df: DataFrame, order_by: list[str], name: str = "key",
@@ -40,11 +40,10 @@ def assign_keys(df: DataFrame, order_by: list[str], name: str = "key",
         return df.withColumn(name, (start_col + F.row_number().over(Window.orderBy(*order)))
                              .cast("bigint"))
     parts = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    checkpoint_root(spark)
-    tagged = (df.repartitionByRange(max(1, parts), *order).sortWithinPartitions(*order)
-              .withColumn("__qh_pid", F.spark_partition_id())
-              .withColumn("__qh_pos", F.monotonically_increasing_id())
-              .checkpoint(eager=True))
+    tagged = materialize(
+        df.repartitionByRange(max(1, parts), *order).sortWithinPartitions(*order)
+        .withColumn("__qh_pid", F.spark_partition_id())
+        .withColumn("__qh_pos", F.monotonically_increasing_id()), "dense_keys")
     counts = tagged.groupBy("__qh_pid").agg(F.count(F.lit(1)).alias("__qh_n"))
     # one row per partition: a single-partition window over it is fine
     offsets = counts.select(

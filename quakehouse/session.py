@@ -57,6 +57,20 @@ def checkpoint_root(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or conf
 
 
+def materialize(df, name: str):
+    """Cut lineage: write ``df`` as parquet under the shared checkpoint folder and read it back.
+
+    Preferred over ``DataFrame.checkpoint()``: a checkpointed frame keeps the
+    partitioning claim of the plan it came from, and with adaptive execution a
+    later sort-merge join against it can pair children with different partition
+    counts. A plain file scan claims nothing, so the planner shuffles as needed.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
     root = checkpoint_root(spark).rstrip("/")

@@ -96,6 +96,10 @@ def main(argv):
         spark.sparkContext.setLogLevel("ERROR")
     else:
         spark = build_session()
+    if os.environ.get("NO_BROADCAST"):
+        # the cluster-scale plan shape: no size-based broadcast, only explicit bounded hints
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     con = duck(sf_dir)
     qs, oracle = E.queries(), E.oracle_sql()
     ok_all = True
