@@ -41,6 +41,15 @@ def normalize(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
+def nullable_as_double(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Integer measures that can be NULL, emitted as double on both engines.
+
+    Pandas renders a NULL-holding integer column as float64 from Spark but as
+    nullable Int64 from DuckDB; as double (exact below 2^53) both agree.
+    """
+    return df.withColumns({c: F.col(c).cast("double") for c in cols})
+
+
 def query(name: str):
     def deco(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -126,7 +135,11 @@ def fact_seismic(spark, sf_dir):
 @query("fact_disaster")
 def fact_disaster(spark, sf_dir):
     """Disaster fact rows."""
-    return _wh(spark, sf_dir).fact_disaster_plan
+    return nullable_as_double(_wh(spark, sf_dir).fact_disaster_plan, DISASTER_NULLABLE)
+
+
+DISASTER_NULLABLE = ["EndDate", "DurationDays", "TotalAffected", "NumInjuries", "NumOtherAffected",
+                     "NumHomeless", "TotalDamageAdj", "InsuredDamage"]
 
 
 @query("bridge")

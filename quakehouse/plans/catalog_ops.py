@@ -14,7 +14,7 @@ from quakehouse.operators import facts as FA
 from quakehouse.operators import ingest as I
 from quakehouse.operators.keys import assign_keys
 from quakehouse.plans import fixtures as FX
-from quakehouse.plans.catalog import _wh, query
+from quakehouse.plans.catalog import _wh, nullable_as_double, query
 from quakehouse.plans.oracle import hv, key_date
 from quakehouse.plans.queries_sql import oracle
 from quakehouse.session import scratch_path
@@ -182,13 +182,13 @@ def partial_dates(spark, sf_dir):
     s = _wh(spark, sf_dir).disaster_stage
     start = C.partial_start("StartYear", "StartMonth", "StartDay")
     end = C.partial_end("EndYear", "EndMonth", "EndDay", "StartYear", "StartMonth", "StartDay")
-    return s.select("StgId", start.alias("StartDate"), end.alias("EndDate"),
-                    F.datediff(end, start).alias("DurationDays"))
+    return nullable_as_double(s.select("StgId", start.alias("StartDate"), end.alias("EndDate"),
+                                       F.datediff(end, start).alias("DurationDays")), ["DurationDays"])
 
 
 oracle("partial_dates", """
 select cast(StgId as bigint) as StgId, strftime(sdate, '%Y-%m-%d') as StartDate, strftime(edate, '%Y-%m-%d') as EndDate,
-  cast(date_diff('day', sdate, edate) as bigint) as DurationDays
+  cast(date_diff('day', sdate, edate) as double) as DurationDays
 from disaster_dates
 """)
 
@@ -229,16 +229,17 @@ def lenient_numbers(spark, sf_dir):
     """Lenient int, bigint (banker's rounding) and float parsing of text."""
     o = FX.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     raw = _raw_number()
-    return o.select("o_orderkey", raw.alias("raw"), C.int_or_null(raw).alias("int_v"),
-                    C.bigint_or_null(raw).alias("bigint_v"), C.float_or_null(raw).alias("float_v"))
+    out = o.select("o_orderkey", raw.alias("raw"), C.int_or_null(raw).alias("int_v"),
+                   C.bigint_or_null(raw).alias("bigint_v"), C.float_or_null(raw).alias("float_v"))
+    return nullable_as_double(out, ["int_v", "bigint_v"])
 
 
 _D = _sql_double("raw")
 _F = f"(case when isnan({_D}) or isinf({_D}) then null else {_D} end)"
 oracle("lenient_numbers", f"""
 select cast(o_orderkey as bigint) as o_orderkey, raw,
-  cast(case when try_cast(trunc({_F}) as integer) >= 0 then try_cast(trunc({_F}) as integer) end as bigint) as int_v,
-  case when try_cast(round_even({_F}, 0) as bigint) >= 0 then try_cast(round_even({_F}, 0) as bigint) end as bigint_v,
+  cast(case when try_cast(trunc({_F}) as integer) >= 0 then try_cast(trunc({_F}) as integer) end as double) as int_v,
+  cast(case when try_cast(round_even({_F}, 0) as bigint) >= 0 then try_cast(round_even({_F}, 0) as bigint) end as double) as bigint_v,
   case when isnan({_D}) then null else {_D} end as float_v
 from (select o_orderkey, {_RAW_NUMBER_SQL} as raw from orders) t
 """)

@@ -65,13 +65,13 @@ SEISMIC_OUT = """cast(SeismicKey as bigint) as SeismicKey, cast(StgId as bigint)
   cast(SignificanceScore as bigint) as SignificanceScore, cast(CommunityDecimalIntensity as double) as CommunityDecimalIntensity"""
 
 DISASTER_OUT = """cast(DisasterKey as bigint) as DisasterKey, cast(StgId as bigint) as StgId, cast(StartDate as bigint) as StartDate,
-  cast(EndDate as bigint) as EndDate, cast(GeographyKey as bigint) as GeographyKey,
+  cast(EndDate as double) as EndDate, cast(GeographyKey as bigint) as GeographyKey,
   cast(SeverityDeathsKey as bigint) as SeverityDeathsKey, cast(SeverityAffectedKey as bigint) as SeverityAffectedKey,
-  cast(Latitude as double) as Latitude, cast(Longitude as double) as Longitude, cast(DurationDays as bigint) as DurationDays,
-  cast(TotalDeaths as bigint) as TotalDeaths, cast(TotalAffected as bigint) as TotalAffected,
-  cast(NumInjuries as bigint) as NumInjuries, cast(NumOtherAffected as bigint) as NumOtherAffected,
-  cast(NumHomeless as bigint) as NumHomeless, cast(TotalDamageAdj as bigint) as TotalDamageAdj,
-  cast(InsuredDamage as bigint) as InsuredDamage, cast(Tsunami as bigint) as Tsunami"""
+  cast(Latitude as double) as Latitude, cast(Longitude as double) as Longitude, cast(DurationDays as double) as DurationDays,
+  cast(TotalDeaths as bigint) as TotalDeaths, cast(TotalAffected as double) as TotalAffected,
+  cast(NumInjuries as double) as NumInjuries, cast(NumOtherAffected as double) as NumOtherAffected,
+  cast(NumHomeless as double) as NumHomeless, cast(TotalDamageAdj as double) as TotalDamageAdj,
+  cast(InsuredDamage as double) as InsuredDamage, cast(Tsunami as bigint) as Tsunami"""
 
 BRIDGE_OUT = """cast(DisasterKey as bigint) as DisasterKey, cast(SeismicKey as bigint) as SeismicKey,
   cast(DistanceKM as double) as DistanceKM, cast(TimeLagDays as bigint) as TimeLagDays"""

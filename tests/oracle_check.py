@@ -79,6 +79,17 @@ def compare(spark, con, name, fn, sql, sf_dir):
     diff = [(a, b) for a, b in zip(sr, orow) if a != b]
     if diff:
         return f"{name}: VALUES differ in {len(diff)} rows, first: spark={diff[0][0]} oracle={diff[0][1]}", False
+    # stricter: the frames must also hash equal at the pandas level (same dtypes,
+    # e.g. a NULL-holding integer column is float64 from Spark but Int64 from DuckDB)
+    import pandas as pd
+
+    def _norm(df):
+        df = df[sorted(df.columns)]
+        return df.sort_values(list(df.columns), na_position="first").reset_index(drop=True)
+    ps, po = _norm(spdf), _norm(opdf)
+    if pd.util.hash_pandas_object(ps, index=False).sum() != pd.util.hash_pandas_object(po, index=False).sum():
+        dts = {c: (str(ps[c].dtype), str(po[c].dtype)) for c in ps.columns if ps[c].dtype != po[c].dtype}
+        return f"{name}: PANDAS-HASH differs, dtypes {dts}", False
     stypes = {f.name: f.dataType.simpleString() for f in sdf.schema.fields}
     return (f"{name}: OK rows={len(sr)} spark={t1 - t0:.1f}s duck={t2 - t1:.2f}s "
             f"types={sorted(set(stypes.values()))}"), True
