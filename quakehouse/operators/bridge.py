@@ -26,6 +26,13 @@ from quakehouse.operators.lookups import keep_where_missing
 # ---------------------------------------------------------------- fixed values
 RADIUS_KM = 100
 WINDOW_DAYS = 3
+# Partition column of a stored seismic fact (event year).
+YEAR_COLUMN = "DateYear"
+
+
+def with_event_year(fact: DataFrame) -> DataFrame:
+    """Partition column for storing the seismic fact: the year of its date key."""
+    return fact.withColumn(YEAR_COLUMN, (F.col("DateKey") / 10000).cast("int"))
 
 
 def _durable(df: DataFrame, dim_geo: DataFrame) -> DataFrame:
@@ -61,12 +68,16 @@ def build_bridge(disasters: DataFrame, seismic: DataFrame, existing: DataFrame |
          .withColumn("__day", F.date_sub("__start", F.col("TimeLagDays")))
          # the event date must itself be a calendar member
          .filter(F.col("__day").between(F.lit(lo), F.lit(hi)))
-         .withColumn("__dk", date_key("__day")))
+         .withColumn("__dk", date_key("__day"))
+         .withColumn("__yr", F.year("__day")))
+    # a seismic fact stored partitioned by event year exposes that column; joining
+    # on it as well lets dynamic partition pruning skip years no window touches
+    year = F.col(YEAR_COLUMN) if YEAR_COLUMN in ev.columns else (F.col("DateKey") / 10000).cast("int")
     s = ev.select(
         "SeismicKey", F.col(match_on).alias("__geo"), F.col("DateKey").alias("__dk"),
-        coord("Latitude").alias("__slat"), coord("Longitude").alias("__slon"))
+        year.alias("__yr"), coord("Latitude").alias("__slat"), coord("Longitude").alias("__slon"))
     s = s.withColumn("__scos", cos_lat("__slat"))
-    j = d.join(s, ["__geo", "__dk"])
+    j = d.join(s, ["__geo", "__yr", "__dk"])
     dist = haversine_parts_km("__dlat", "__dlon", "__dcos", "__slat", "__slon", "__scos")
     j = j.withColumn("__dist", dist)
     keep = F.col("__dlat").isNull() | (F.col("__dist") <= F.lit(float(radius_km)))

@@ -17,7 +17,7 @@ from quakehouse.functions.columns import SENTINEL_ISO, key_to_date, status_band
 # ---------------------------------------------------------------- fixed values
 # Key and audit columns left out of the completeness profile, per fact table.
 FACT_EXCLUDE = {
-    "FactSeismic": ["SeismicKey", "StgId", "DateKey", "GeographyKey", "MagnitudeKey",
+    "FactSeismic": ["SeismicKey", "StgId", "DateKey", "DateYear", "GeographyKey", "MagnitudeKey",
                     "SeismicDepthKey", "InsertDate", "UpdateDate"],
     "FactDisaster": ["DisasterKey", "StgId", "StartDate", "EndDate", "GeographyKey",
                      "SeverityDeathsKey", "SeverityAffectedKey", "InsertDate", "UpdateDate"],

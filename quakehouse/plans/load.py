@@ -62,7 +62,8 @@ def run_load(spark: SparkSession, events_path: str, disasters_path: str, places:
     # U4 / U5 facts
     cal = D.dim_date(spark)
     seis = FA.fact_seismic(es, geo, D.magnitude_bands(spark), D.depth_bands(spark))
-    sinks.write_table(seis.fact, p.fact_seismic, mode="overwrite")
+    sinks.write_table(B.with_event_year(seis.fact), p.fact_seismic, mode="overwrite",
+                      partition_by=[B.YEAR_COLUMN])
     sinks.write_table(seis.marks, p.seismic_marks, mode="overwrite")
     dis = FA.fact_disaster(ds, geo, D.deaths_bands(spark), D.affected_bands(spark), cal)
     sinks.write_table(dis.fact, p.fact_disaster, mode="overwrite")

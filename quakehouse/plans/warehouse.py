@@ -137,7 +137,9 @@ class Warehouse:
 
     @cached_property
     def fact_seismic(self) -> DataFrame:
-        return self.stored("fact_seismic", lambda: self.fact_seismic_plan)
+        """Stored partitioned by event year (the bridge prunes years dynamically)."""
+        return self.stored("fact_seismic", lambda: B.with_event_year(self.fact_seismic_plan),
+                           partition_by=B.YEAR_COLUMN)
 
     @cached_property
     def fact_disaster(self) -> DataFrame:

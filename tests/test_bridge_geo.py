@@ -71,6 +71,19 @@ def test_bridge_skips_linked_and_plan_has_no_cartesian(spark):
     assert "NestedLoopJoin" not in plan
 
 
+def test_bridge_prunes_event_years(spark, tmpdir_path):
+    import os
+    d, s = _facts(spark, [(1, 20040110, 7, 10.0, 10.0)],
+                  [(1, 20040110, 7, 10.0, 10.0), (2, 19990110, 7, 10.0, 10.0),
+                   (3, 20040109, 7, 10.0, 10.0)])
+    path = os.path.join(tmpdir_path, "fact_seismic")
+    B.with_event_year(s).write.partitionBy(B.YEAR_COLUMN).parquet(path)
+    out = B.build_bridge(d, spark.read.parquet(path))
+    assert sorted(r.SeismicKey for r in out.collect()) == [1, 3]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan.lower()
+
+
 def _brute(points, places):
     def hv(a, b, c, d):
         k = math.pi / 180
