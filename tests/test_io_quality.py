@@ -52,6 +52,23 @@ def test_country_master_and_observed_write(spark, tmpdir_path):
     assert spark.read.parquet(os.path.join(tmpdir_path, "out")).count() == 2
 
 
+def test_dedup_with_a_hot_key(spark):
+    from quakehouse.operators.facts import keep_first
+    from quakehouse.operators.staging import first_per_key
+    rows = [(i, "hot" if i % 3 == 0 else f"id{i}", i * 1.5) for i in range(300)]
+    rows += [(1000, None, 0.0), (1001, None, 1.0)]
+    inc = spark.createDataFrame(rows, "StgId long, EventId string, v double")
+    staged = spark.createDataFrame([("id1",), ("id2",)], "EventId string")
+    out = I.not_yet_staged(inc, staged, "EventId", order="StgId").collect()
+    ids = {r.EventId: r.StgId for r in out if r.EventId is not None}
+    assert ids["hot"] == 0 and "id1" not in ids and "id2" not in ids
+    assert len(out) == 200 - 2 + 1 + 1  # 200 distinct ids + 1 hot, 2 staged removed, 1 NULL group
+    firsts = {r.EventId: r.StgId for r in first_per_key(inc, "EventId").collect()}
+    assert firsts["hot"] == 0 and len(firsts) == 202 - 0  # NULL-key rows are all kept
+    kf = keep_first(inc, ["EventId"]).collect()
+    assert sorted(r.StgId for r in kf if r.EventId in ("hot", None)) == [0, 1000]
+
+
 def test_resume_year(spark):
     cases = [(None, dt.date(2024, 5, 1), 2000), (dt.date(2023, 12, 31), dt.date(2024, 5, 1), 2024),
              (dt.date(2024, 5, 1), dt.date(2024, 5, 1), 2024)]
