@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quakehouse.operators import bridge as B
-from quakehouse.operators import dims as D
 from quakehouse.operators import lookups as L
 from quakehouse.operators import quality as Q
 from quakehouse.plans.warehouse import Warehouse

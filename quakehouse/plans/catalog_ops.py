@@ -17,7 +17,6 @@ from quakehouse.plans import fixtures as FX
 from quakehouse.plans.catalog import _wh, nullable_as_double, query
 from quakehouse.plans.oracle import hv, key_date
 from quakehouse.plans.queries_sql import oracle
-from quakehouse.session import scratch_path
 
 # ---------------------------------------------------------------- fixed values
 # Official renames applied in the SCD2 change scenario, and its load date.
@@ -366,14 +365,9 @@ select EventId, cast(min(StgId) as bigint) as StgId from event_stage group by Ev
 @query("rebuild")
 def rebuild(spark, sf_dir):
     """Dedup disaster staging by DisNo, rebuild fact + bridge from scratch, report counts."""
+    from quakehouse.plans.load import rebuild_disasters
     w = _wh(spark, sf_dir)
-    stage = FA.keep_first(w.disaster_stage, ["DisNo"])
-    # the repair replaces the stored fact; later steps read the stored table
-    path = scratch_path(spark, "rebuilt_fact_disaster")
-    FA.fact_disaster(stage, w.dim_geo, w.deaths_bands, w.affected_bands, w.dim_date) \
-        .fact.write.parquet(path)
-    fact = spark.read.parquet(path)
-    br = B.build_bridge(fact, w.fact_seismic)
+    fact, br = rebuild_disasters(w.disaster_stage, w.dim_geo, w.fact_seismic, spark)
     distinct = fact.select("StartDate", "GeographyKey", "TotalDeaths").distinct()
     parts = [("FactDisaster", fact), ("FactDisaster distinct date+geo+deaths", distinct),
              ("BridgeDisasterSeismic", br)]

@@ -20,6 +20,7 @@ from quakehouse.operators import dims as D
 from quakehouse.operators import facts as FA
 from quakehouse.operators import ingest as I
 from quakehouse.operators import staging as ST
+from quakehouse.session import materialize
 from quakehouse.sources import sinks
 from quakehouse.sources.readers import read_disaster_csv, read_event_geojson
 
@@ -113,8 +114,9 @@ class _RunLog:
 
 def rebuild_disasters(stage: DataFrame, geo: DataFrame, seismic: DataFrame, spark: SparkSession
                       ) -> tuple[DataFrame, DataFrame]:
-    """Keep the lowest id per DisNo, then rebuild the disaster fact and bridge from scratch."""
+    """Keep the lowest id per DisNo, rebuild the disaster fact from scratch (stored,
+    replacing the old one, with an empty tracker), then the bridge over it."""
     clean = FA.keep_first(stage, ["DisNo"])
-    fact = FA.fact_disaster(clean, geo, D.deaths_bands(spark), D.affected_bands(spark),
-                            D.dim_date(spark)).fact
+    fact = materialize(FA.fact_disaster(clean, geo, D.deaths_bands(spark), D.affected_bands(spark),
+                                        D.dim_date(spark)).fact, "rebuilt_fact_disaster")
     return fact, B.build_bridge(fact, seismic)

@@ -3,7 +3,6 @@
 import math
 import random
 
-from pyspark.sql import functions as F
 
 from quakehouse.operators import bridge as B
 from quakehouse.operators import geo as G
