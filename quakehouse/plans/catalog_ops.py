@@ -440,8 +440,8 @@ def _run_events(stage):
     start = F.make_date(y, F.lit(1), F.lit(1))
     end = F.make_date(y, F.lit(12), F.lit(31))
     t0 = F.to_timestamp(F.date_add(end, 1))
-    begin = per.select(*I.run_event(y, "USGS", I.RUN_RUNNING, t0, start, end))
-    done = [per.filter(ok).select(*I.run_event(y, "USGS", status, t0 + F.expr("INTERVAL 1 HOUR"),
+    begin = per.select(*I.run_event(y, "events", I.RUN_RUNNING, t0, start, end))
+    done = [per.filter(ok).select(*I.run_event(y, "events", status, t0 + F.expr("INTERVAL 1 HOUR"),
                                                start, end, loaded=F.col("n"), rejected=F.lit(0)))
             for ok, status in ((y < FAILED_FROM_YEAR, I.RUN_SUCCESS),
                                (y >= FAILED_FROM_YEAR, I.RUN_FAILED))]
@@ -457,7 +457,7 @@ def run_log_latest(spark, sf_dir):
 
 
 oracle("run_log_latest", f"""
-select cast(LoadBatchId as bigint) as RunId, 'USGS' as SourceSystem,
+select cast(LoadBatchId as bigint) as RunId, 'events' as SourceSystem,
   case when LoadBatchId >= {FAILED_FROM_YEAR} then 'FAILED' else 'SUCCESS' end as Status,
   strftime(make_date(LoadBatchId, 1, 1), '%Y-%m-%d') as ExtractFrom,
   strftime(make_date(LoadBatchId, 12, 31), '%Y-%m-%d') as ExtractTo,
@@ -471,7 +471,7 @@ def incremental_slice(spark, sf_dir):
     """U8: staged rows from the resume year on (after the last successful run)."""
     w = _wh(spark, sf_dir)
     latest = I.run_log_latest(_run_events(w.event_stage))
-    s = I.incremental_slice(w.event_stage, "LoadBatchId", latest, "USGS", INCREMENTAL_TODAY)
+    s = I.incremental_slice(w.event_stage, "LoadBatchId", latest, "events", INCREMENTAL_TODAY)
     return s.select("StgId", "EventId", "LoadBatchId")
 
 

@@ -41,16 +41,16 @@ def run_load(spark: SparkSession, events_path: str, disasters_path: str, places:
     log = _RunLog(spark, p.run_log, batch_id)
     try:
         # U10 events
-        log.start("USGS")
+        log.start("events")
         flat = read_event_geojson(spark, events_path, lines=events_as_lines)
         ev = ST.ingest_events(flat, batch_id, places, master)
         loaded = _observed_append(ev.staged, p.event_stage)
         rejected = _observed_append(ev.rejects, p.event_rejects)
-        log.finish("USGS", loaded, rejected)
+        log.finish("events", loaded, rejected)
         # U11 disasters
-        log.start("EMDAT")
+        log.start("disasters")
         raw = read_disaster_csv(spark, disasters_path)
-        log.finish("EMDAT", _observed_append(ST.ingest_disasters(raw, batch_id), p.disaster_stage), 0)
+        log.finish("disasters", _observed_append(ST.ingest_disasters(raw, batch_id), p.disaster_stage), 0)
     except Exception as exc:
         log.fail(str(exc))
         raise

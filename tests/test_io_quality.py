@@ -73,16 +73,16 @@ def test_resume_year(spark):
     cases = [(None, dt.date(2024, 5, 1), 2000), (dt.date(2023, 12, 31), dt.date(2024, 5, 1), 2024),
              (dt.date(2024, 5, 1), dt.date(2024, 5, 1), 2024)]
     for last, today, want in cases:
-        log = spark.createDataFrame([(1, "USGS", "SUCCESS", last)],
+        log = spark.createDataFrame([(1, "events", "SUCCESS", last)],
                                     "RunId int, SourceSystem string, Status string, ExtractTo date")
-        y = spark.range(1).select(I.resume_year(I.last_success(log, "USGS"), today)).first()[0]
+        y = spark.range(1).select(I.resume_year(I.last_success(log, "events"), today)).first()[0]
         assert y == want
 
 
 def test_run_log_latest(spark):
     ev = spark.createDataFrame(
-        [(1, "USGS", dt.datetime(2024, 1, 1, 3), "RUNNING"), (1, "USGS", dt.datetime(2024, 1, 1, 4), "FAILED"),
-         (2, "USGS", dt.datetime(2024, 1, 2, 3), "RUNNING")],
+        [(1, "events", dt.datetime(2024, 1, 1, 3), "RUNNING"), (1, "events", dt.datetime(2024, 1, 1, 4), "FAILED"),
+         (2, "events", dt.datetime(2024, 1, 2, 3), "RUNNING")],
         "RunId int, SourceSystem string, EventTime timestamp, Status string")
     got = {r.RunId: r.Status for r in I.run_log_latest(ev).collect()}
     assert got == {1: "FAILED", 2: "RUNNING"}
