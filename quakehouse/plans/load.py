@@ -14,6 +14,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 from quakehouse.operators import bridge as B
 from quakehouse.operators import dims as D
@@ -33,50 +34,94 @@ class LoadPaths:
         return f"{self.root.rstrip('/')}/{name}"
 
 
+RUN = "LoadBatchId"
+
+
+def _read(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException:
+        return None
+
+
 def run_load(spark: SparkSession, events_path: str, disasters_path: str, places: DataFrame,
              master: DataFrame, out_root: str, batch_id: int, as_of: _dt.date,
              events_as_lines: bool = True) -> dict[str, str]:
-    """One full load from landed files into a warehouse folder; returns table paths."""
+    """One incremental load run from landed files into a warehouse folder.
+
+    Every table this run writes gets its own ``LoadBatchId = batch_id`` partition
+    (dynamic partition overwrite), and "already done" (staged ids, promoted ids,
+    linked disasters) is taken from the *other* runs' partitions only. Re-running
+    the same run after a failure at any point therefore rewrites exactly the
+    same partitions, and earlier runs are never touched. Returns the table paths.
+    """
     p = LoadPaths(out_root)
+
+    def others(path: str) -> DataFrame | None:
+        df = _read(spark, path)
+        return None if df is None else df.filter(F.col(RUN) != batch_id)
+
     log = _RunLog(spark, p.run_log, batch_id)
     try:
         # U10 events
         log.start("events")
         flat = read_event_geojson(spark, events_path, lines=events_as_lines)
-        ev = ST.ingest_events(flat, batch_id, places, master)
+        ev = ST.ingest_events(flat, batch_id, places, master, staged=others(p.event_stage),
+                              rejected=others(p.event_rejects))
         loaded = _observed_append(ev.staged, p.event_stage)
         rejected = _observed_append(ev.rejects, p.event_rejects)
         log.finish("events", loaded, rejected)
         # U11 disasters
         log.start("disasters")
         raw = read_disaster_csv(spark, disasters_path)
-        log.finish("disasters", _observed_append(ST.ingest_disasters(raw, batch_id), p.disaster_stage), 0)
+        new_dis = ST.ingest_disasters(raw, batch_id, staged=others(p.disaster_stage))
+        log.finish("disasters", _observed_append(new_dis, p.disaster_stage), 0)
     except Exception as exc:
         log.fail(str(exc))
         raise
     es, ds = spark.read.parquet(p.event_stage), spark.read.parquet(p.disaster_stage)
-    # U2 + U1 geography
+    # U2 + U1 geography: SCD2 transition of the stored dimension (the new version
+    # is materialized before the table path is replaced)
     codes = D.staged_codes(es.select("ISO3"), ds.select("ISO"))
-    geo = D.scd2_apply(D.empty_geography(spark), D.incoming_countries(codes, master), as_of)
+    geo_old = _read(spark, p.dim_geography)
+    geo = D.scd2_apply(geo_old if geo_old is not None else D.empty_geography(spark),
+                       D.incoming_countries(codes, master), as_of)
     sinks.write_table(geo, p.dim_geography, mode="overwrite")
     geo = spark.read.parquet(p.dim_geography)
-    # U4 / U5 facts
+    # U3/U4/U5 facts: promote what other runs have not marked; fact rows first, then marks
     cal = D.dim_date(spark)
-    seis = FA.fact_seismic(es, geo, D.magnitude_bands(spark), D.depth_bands(spark))
-    sinks.write_table(B.with_event_year(seis.fact), p.fact_seismic, mode="overwrite",
-                      partition_by=[B.YEAR_COLUMN])
-    sinks.write_table(seis.marks, p.seismic_marks, mode="overwrite")
-    dis = FA.fact_disaster(ds, geo, D.deaths_bands(spark), D.affected_bands(spark), cal)
-    sinks.write_table(dis.fact, p.fact_disaster, mode="overwrite")
-    sinks.write_table(dis.marks, p.disaster_marks, mode="overwrite")
-    # U6 bridge
-    br = B.build_bridge(spark.read.parquet(p.fact_disaster), spark.read.parquet(p.fact_seismic))
-    sinks.write_table(br, p.bridge, mode="overwrite")
+    seis = FA.fact_seismic(es.drop(RUN), geo, D.magnitude_bands(spark), D.depth_bands(spark),
+                           tracker=others(p.seismic_marks))
+    store_promotion(seis, p.fact_seismic, p.seismic_marks, batch_id,
+                    transform=B.with_event_year, extra_partition=B.YEAR_COLUMN)
+    dis = FA.fact_disaster(ds.drop(RUN), geo, D.deaths_bands(spark), D.affected_bands(spark), cal,
+                           tracker=others(p.disaster_marks))
+    store_promotion(dis, p.fact_disaster, p.disaster_marks, batch_id)
+    # U6 bridge: only disasters without links from other runs
+    br = B.build_bridge(spark.read.parquet(p.fact_disaster), spark.read.parquet(p.fact_seismic),
+                        existing=others(p.bridge))
+    sinks.append_batch(br.withColumn(RUN, F.lit(batch_id)), p.bridge, RUN)
     return {n: getattr(p, n) for n in ("event_stage", "event_rejects", "disaster_stage",
                                        "dim_geography", "fact_seismic", "fact_disaster", "bridge",
                                        "run_log")}
 
 
+def store_promotion(promo: FA.Promotion, fact_path: str, tracker_path: str, batch_id: int,
+                    transform=None, extra_partition: str | None = None) -> None:
+    """U3 write: this run's fact rows, then its marks, each in the run's own partition.
+
+    A crash between the two writes leaves the marks missing, so the re-run
+    promotes the same rows again and overwrites its own fact partition: no
+    duplicates, nothing lost.
+    """
+    fact = promo.fact.withColumn(RUN, F.lit(batch_id))
+    if transform is not None:
+        fact = transform(fact)
+    parts = [RUN] + ([extra_partition] if extra_partition else [])
+    sinks.append_batch(fact, fact_path, parts)
+    sinks.append_batch(promo.marks.withColumn(RUN, F.lit(batch_id)), tracker_path, RUN)
+
+
 def _observed_append(df: DataFrame, path: str) -> int:
     """S3 + A15: append a batch and count its rows during the same write."""
     obs = Observation(f"qh_rows_{uuid.uuid4().hex[:8]}")

@@ -9,11 +9,12 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
-def append_batch(df: DataFrame, path: str, batch_col: str = "LoadBatchId") -> None:
-    """S3: write batches partitioned by ``batch_col``; re-running a batch replaces
-    only that batch's partition (dynamic partition overwrite)."""
+def append_batch(df: DataFrame, path: str, batch_col: str | list[str] = "LoadBatchId") -> None:
+    """S3: write batches partitioned by ``batch_col`` (first = the batch); re-running a
+    batch replaces only that batch's partitions (dynamic partition overwrite)."""
+    cols = [batch_col] if isinstance(batch_col, str) else list(batch_col)
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(batch_col).parquet(path))
+     .partitionBy(*cols).parquet(path))
 
 
 def write_table(df: DataFrame, path: str, mode: str = "append",
