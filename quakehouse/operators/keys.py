@@ -33,15 +33,16 @@ def assign_keys(df: DataFrame, order_by: list[str], name: str = "key",
     ``buckets=1`` is for inputs with a known small bound (a dimension): one
     ordered window, no materialization.
     """
-    spark = df.sparkSession
     start_col = start if isinstance(start, Column) else F.lit(start)
     order = [F.col(c).asc_nulls_first() for c in order_by]
     if buckets == 1:
         return df.withColumn(name, (start_col + F.row_number().over(Window.orderBy(*order)))
                              .cast("bigint"))
-    parts = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # without an explicit count, AQE may coalesce adjacent ranges (order is kept)
+    ranged = (df.repartitionByRange(max(1, buckets), *order) if buckets
+              else df.repartitionByRange(*order))
     tagged = materialize(
-        df.repartitionByRange(max(1, parts), *order).sortWithinPartitions(*order)
+        ranged.sortWithinPartitions(*order)
         .withColumn("__qh_pid", F.spark_partition_id())
         .withColumn("__qh_pos", F.monotonically_increasing_id()), "dense_keys")
     counts = tagged.groupBy("__qh_pid").agg(F.count(F.lit(1)).alias("__qh_n"))
