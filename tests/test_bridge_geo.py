@@ -83,6 +83,19 @@ def test_bridge_prunes_event_years(spark, tmpdir_path):
     assert "dynamicpruning" in plan.lower()
 
 
+def test_bridge_invariants_on_the_warehouse(spark):
+    from pyspark.sql import functions as F
+
+    from quakehouse.plans.warehouse import Warehouse
+    w = Warehouse(spark, "/root/testdata/sf0.001")
+    b = w.bridge_plan
+    bad = b.filter(~(F.col("DistanceKM").isNull() | (F.col("DistanceKM") <= B.RADIUS_KM))
+                   | ~F.col("TimeLagDays").between(0, B.WINDOW_DAYS))
+    assert bad.count() == 0
+    assert b.count() == b.select("DisasterKey", "SeismicKey").distinct().count()
+    assert b.count() == 282 and b.filter(F.col("DistanceKM").isNull()).count() == 19  # FIXTURES B5
+
+
 def _brute(points, places):
     def hv(a, b, c, d):
         k = math.pi / 180
