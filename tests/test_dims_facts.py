@@ -90,6 +90,28 @@ def test_scd2_new_rename_unchanged_attribute_only(spark):
     assert d3.exceptAll(d2).count() == 0 and d2.exceptAll(d3).count() == 0
 
 
+def test_expected_figures_sf0001(spark):
+    """The survey's independently computed figures (FIXTURES B5, sf0.001)."""
+    from quakehouse.plans.warehouse import Warehouse
+    w = Warehouse(spark, "/root/testdata/sf0.001")
+    assert w.event_stage.count() == 6000
+    s = w.seismic
+    assert (s.marks.count(), s.fact.count(), s.dropped.count()) == (5939, 5701, 238)
+    assert s.fact.filter(F.col("GeographyKey") == 1).count() == 923
+    mags = {r.MagnitudeKey: r["count"] for r in s.fact.groupBy("MagnitudeKey").count().collect()}
+    assert [mags[k] for k in range(1, 9)] == [1080, 581, 563, 560, 559, 594, 586, 1178]
+    depths = {r.SeismicDepthKey: r["count"] for r in s.fact.groupBy("SeismicDepthKey").count().collect()}
+    assert [depths[k] for k in range(1, 5)] == [591, 1558, 2888, 664]
+    d = w.disaster
+    f = d.fact
+    assert (d.marks.count(), f.count()) == (1485, 1471)
+    agg = f.agg(F.count_if(F.col("EndDate").isNull()).alias("null_end"),
+                F.count_if(F.col("EndDate") < F.col("StartDate")).alias("end_before"),
+                F.sum("DurationDays").alias("dur"), F.count_if(F.col("NumOtherAffected") < 0).alias("neg"),
+                F.sum("TotalDamageAdj").alias("dmg")).first()
+    assert (agg.null_end, agg.end_before, agg.dur, agg.neg, agg.dmg) == (1, 57, 36807, 603, 18393593000)
+
+
 def test_promotion_twice_is_once(spark):
     stage = spark.createDataFrame(
         [(1, "2024-01-15T00:00:00", "AAA", "4.50", 10.0), (2, "None", "AAA", "5.00", 10.0),
