@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quakehouse.functions.columns import SENTINEL_ISO, key_to_date, status_band
+from quakehouse.session import materialize
 
 # ---------------------------------------------------------------- fixed values
 # Key and audit columns left out of the completeness profile, per fact table.
@@ -328,11 +329,14 @@ def quality_metrics(tables: dict[str, DataFrame], stages: dict[str, tuple[DataFr
                "Latitude", "Longitude", "Magnitude", "SeismicDepth"]
     dis_nn = ["DisasterKey", "StartDate", "EndDate", "GeographyKey", "SeverityDeathsKey",
               "SeverityAffectedKey", "Tsunami"]
-    # one scan per fact, grouped by geography key (a few hundred rows)
-    seis_p = table_partials(seis, "FactSeismic", rules=seismic_rules(), not_null=seis_nn,
-                            by="GeographyKey")
-    dis_p = table_partials(dis, "FactDisaster", rules=disaster_rules(), not_null=dis_nn,
-                           by="GeographyKey", flags={"Tsunami": F.col("Tsunami") == 1})
+    # one scan per fact, grouped by geography key (a few hundred rows); the partials
+    # are written once because several checks read them (otherwise column pruning
+    # would give each use its own, narrower scan of the fact)
+    seis_p = materialize(table_partials(seis, "FactSeismic", rules=seismic_rules(),
+                                        not_null=seis_nn, by="GeographyKey"), "q12_seismic")
+    dis_p = materialize(table_partials(dis, "FactDisaster", rules=disaster_rules(), not_null=dis_nn,
+                                       by="GeographyKey", flags={"Tsunami": F.col("Tsunami") == 1}),
+                        "q12_disaster")
     parts = [profile_from_partials(seis_p, "FactSeismic"), profile_from_partials(dis_p, "FactDisaster")]
     others = {k: v for k, v in tables.items() if k not in ("FactSeismic", "FactDisaster")}
     parts.append(row_counts(others).select(
