@@ -107,6 +107,8 @@ def main(argv):
         spark.sparkContext.setLogLevel("ERROR")
     else:
         spark = build_session()
+    if os.environ.get("SESSION_TZ"):
+        spark.conf.set("spark.sql.session.timeZone", os.environ["SESSION_TZ"])
     if os.environ.get("NO_BROADCAST"):
         # the cluster-scale plan shape: no size-based broadcast, only explicit bounded hints
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
