@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from quakehouse.functions.columns import coord, cos_lat, date_key, haversine_parts_km, key_to_date
 from quakehouse.operators.dims import CALENDAR_END, CALENDAR_START
 from quakehouse.operators.lookups import keep_where_missing
+from quakehouse.session import materialize
 
 # ---------------------------------------------------------------- fixed values
 RADIUS_KM = 100
@@ -43,12 +44,14 @@ def _durable(df: DataFrame, dim_geo: DataFrame) -> DataFrame:
 def build_bridge(disasters: DataFrame, seismic: DataFrame, existing: DataFrame | None = None,
                  radius_km: float = RADIUS_KM, window_days: int = WINDOW_DAYS,
                  match_on: str = "GeographyKey", dim_geo: DataFrame | None = None,
-                 calendar: tuple[_dt.date, _dt.date] = (CALENDAR_START, CALENDAR_END)
-                 ) -> DataFrame:
+                 calendar: tuple[_dt.date, _dt.date] = (CALENDAR_START, CALENDAR_END),
+                 hot_key_rows: int | None = None, salts: int = 16) -> DataFrame:
     """New bridge rows (DisasterKey, SeismicKey, DistanceKM, TimeLagDays).
 
     Only disasters without any existing bridge row are (re)matched (J8).
     ``match_on="CountryDurableKey"`` matches across country versions (needs ``dim_geo``).
+    ``hot_key_rows``: split (geography, day) keys with more events than this over
+    ``salts`` tasks (AQE's skew-join split applies in any case).
     """
     todo = disasters if existing is None else keep_where_missing(disasters, existing, "DisasterKey")
     ev = seismic
@@ -77,7 +80,11 @@ def build_bridge(disasters: DataFrame, seismic: DataFrame, existing: DataFrame |
         "SeismicKey", F.col(match_on).alias("__geo"), F.col("DateKey").alias("__dk"),
         year.alias("__yr"), coord("Latitude").alias("__slat"), coord("Longitude").alias("__slon"))
     s = s.withColumn("__scos", cos_lat("__slat"))
-    j = d.join(s, ["__geo", "__yr", "__dk"])
+    keys = ["__geo", "__yr", "__dk"]
+    if hot_key_rows:
+        d, s = _split_hot_keys(d, s, keys, hot_key_rows, salts)
+        keys = keys + ["__salt"]
+    j = d.join(s, keys)
     dist = haversine_parts_km("__dlat", "__dlon", "__dcos", "__slat", "__slon", "__scos")
     j = j.withColumn("__dist", dist)
     keep = F.col("__dlat").isNull() | (F.col("__dist") <= F.lit(float(radius_km)))
@@ -89,6 +96,26 @@ def build_bridge(disasters: DataFrame, seismic: DataFrame, existing: DataFrame |
     )
 
 
+def _split_hot_keys(d: DataFrame, s: DataFrame, keys: list[str], hot_key_rows: int,
+                    salts: int) -> tuple[DataFrame, DataFrame]:
+    """Salt only the hot join keys: their events are spread by a hash of the event
+    key over ``salts`` values, and their (few) exploded disasters are replicated
+    once per salt; all other keys keep salt 0. The hot-key set is bounded by
+    rows / hot_key_rows, so it is broadcast."""
+    hot = (s.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+           .filter(F.col("__n") > hot_key_rows).select(*keys, F.lit(True).alias("__hot")))
+    hot = materialize(hot, "bridge_hot_keys")
+    s = (s.join(F.broadcast(hot), keys, "left")
+         .withColumn("__salt", F.when(F.col("__hot"), F.pmod(F.xxhash64("SeismicKey"), F.lit(salts)))
+                     .otherwise(F.lit(0)).cast("int"))
+         .drop("__hot"))
+    d = (d.join(F.broadcast(hot), keys, "left")
+         .withColumn("__salt", F.explode(F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(salts - 1)))
+                                         .otherwise(F.array(F.lit(0)))))
+         .drop("__hot"))
+    return d, s
+
+
 def without_links(disasters: DataFrame, bridge: DataFrame) -> DataFrame:
     """Disasters that have no bridge row."""
     return keep_where_missing(disasters, bridge, "DisasterKey")

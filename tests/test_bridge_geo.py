@@ -101,6 +101,15 @@ def test_bridge_invariants_on_the_warehouse(spark):
     assert (r.n, r.nulls, r.dist, r.lag, r.chk, r.linked) == (282, 19, 15260.59, 448, 26345150, 220)
 
 
+def test_bridge_hot_key_split_is_exact(spark):
+    from quakehouse.plans.warehouse import Warehouse
+    w = Warehouse(spark, "/root/testdata/sf0.001")
+    plain = B.build_bridge(w.fact_disaster, w.fact_seismic)
+    salted = B.build_bridge(w.fact_disaster, w.fact_seismic, hot_key_rows=1, salts=4)
+    assert salted.count() == plain.count() == 282
+    assert salted.exceptAll(plain).count() == 0 and plain.exceptAll(salted).count() == 0
+
+
 def _brute(points, places):
     def hv(a, b, c, d):
         k = math.pi / 180
