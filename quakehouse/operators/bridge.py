@@ -91,7 +91,8 @@ def build_bridge(disasters: DataFrame, seismic: DataFrame, existing: DataFrame |
     both = F.col("__dlat").isNotNull() & F.col("__slat").isNotNull()
     return j.filter(keep).select(
         "DisasterKey", "SeismicKey",
-        F.when(both, F.col("__dist")).alias("DistanceKM"),
+        # compared in double (rounded to 3 decimals), stored as decimal(10,3)
+        F.when(both, F.col("__dist")).cast("decimal(10,3)").alias("DistanceKM"),
         F.col("TimeLagDays").cast("int").alias("TimeLagDays"),
     )
 

@@ -98,7 +98,7 @@ def test_bridge_invariants_on_the_warehouse(spark):
               F.sum(F.col("SeismicKey") * 31 + F.col("DisasterKey")).alias("chk"),
               F.countDistinct("DisasterKey").alias("linked")).first()
     # FIXTURES B5 (computed independently in two engines)
-    assert (r.n, r.nulls, r.dist, r.lag, r.chk, r.linked) == (282, 19, 15260.59, 448, 26345150, 220)
+    assert (r.n, r.nulls, float(r.dist), r.lag, r.chk, r.linked) == (282, 19, 15260.59, 448, 26345150, 220)
 
 
 def test_bridge_hot_key_split_is_exact(spark):
