@@ -65,17 +65,21 @@ def run_load(spark: SparkSession, events_path: str, disasters_path: str, places:
     try:
         # U10 events
         log.start("events")
-        flat = read_event_geojson(spark, events_path, lines=events_as_lines)
+        read_ev = _counter("extracted")
+        flat = read_event_geojson(spark, events_path, lines=events_as_lines).observe(
+            read_ev, F.count(F.lit(1)).alias("rows"))
         ev = ST.ingest_events(flat, batch_id, places, master, staged=others(p.event_stage),
                               rejected=others(p.event_rejects))
         loaded = _observed_append(ev.staged, p.event_stage)
         rejected = _observed_append(ev.rejects, p.event_rejects)
-        log.finish("events", loaded, rejected)
+        log.finish("events", loaded, rejected, _rows_read(read_ev, flat))
         # U11 disasters
         log.start("disasters")
-        raw = read_disaster_csv(spark, disasters_path)
+        read_dis = _counter("extracted")
+        raw = read_disaster_csv(spark, disasters_path).observe(read_dis, F.count(F.lit(1)).alias("rows"))
         new_dis = ST.ingest_disasters(raw, batch_id, staged=others(p.disaster_stage))
-        log.finish("disasters", _observed_append(new_dis, p.disaster_stage), 0)
+        log.finish("disasters", _observed_append(new_dis, p.disaster_stage), 0,
+                   _rows_read(read_dis, raw))
     except Exception as exc:
         log.fail(str(exc))
         raise
@@ -122,9 +126,22 @@ def store_promotion(promo: FA.Promotion, fact_path: str, tracker_path: str, batc
     sinks.append_batch(promo.marks.withColumn(RUN, F.lit(batch_id)), tracker_path, RUN)
 
 
+def _counter(name: str) -> Observation:
+    return Observation(f"qh_{name}_{uuid.uuid4().hex[:8]}")
+
+
+def _rows_read(obs: Observation, df: DataFrame) -> int:
+    """Rows counted while the feed was processed; if adaptive execution cut the
+    observed subtree short (nothing new to load), count the read directly."""
+    try:
+        return int(obs.get.get("rows", 0))
+    except Exception:  # no metrics were reported for this observation
+        return df.count()
+
+
 def _observed_append(df: DataFrame, path: str) -> int:
     """S3 + A15: append a batch and count its rows during the same write."""
-    obs = Observation(f"qh_rows_{uuid.uuid4().hex[:8]}")
+    obs = _counter("rows")
     sinks.append_batch(df.observe(obs, F.count(F.lit(1)).alias("rows")), path)
     return int(obs.get.get("rows", 0))
 
@@ -136,20 +153,21 @@ class _RunLog:
         self.spark, self.path, self.batch_id = spark, path, batch_id
         self.open: str | None = None
 
-    def _write(self, source: str, status: str, loaded=None, rejected=None, error=None) -> None:
+    def _write(self, source: str, status: str, loaded=None, rejected=None, error=None,
+               extracted=None) -> None:
+        def lit(v):
+            return None if v is None else F.lit(v)
         row = self.spark.range(1).select(*I.run_event(
             F.lit(self.batch_id), source, status, F.current_timestamp(),
-            loaded=None if loaded is None else F.lit(loaded),
-            rejected=None if rejected is None else F.lit(rejected),
-            error=None if error is None else F.lit(error)))
+            loaded=lit(loaded), rejected=lit(rejected), error=lit(error), extracted=lit(extracted)))
         sinks.write_table(row, self.path, mode="append")
 
     def start(self, source: str) -> None:
         self.open = source
         self._write(source, I.RUN_RUNNING)
 
-    def finish(self, source: str, loaded: int, rejected: int) -> None:
-        self._write(source, I.RUN_SUCCESS, loaded, rejected)
+    def finish(self, source: str, loaded: int, rejected: int, extracted: int | None = None) -> None:
+        self._write(source, I.RUN_SUCCESS, loaded, rejected, extracted=extracted)
         self.open = None
 
     def fail(self, error: str) -> None:

@@ -90,6 +90,17 @@ def test_load_runs_are_idempotent(spark):
     assert load(2) == first          # a new run over the same files adds nothing
     log = spark.read.parquet(f"{root}/run_log")
     assert log.filter("Status = 'SUCCESS'").count() == 6
+    ok = log.filter("Status = 'SUCCESS' and SourceSystem = 'events'").orderBy("EventTime").first()
+    assert ok.RowsExtracted == 6000 and ok.RowsLoaded == first["event_stage"]  # Q-34 counter filled
+
+
+def test_disaster_csv_without_business_id_is_rejected(spark, tmpdir_path):
+    import pytest
+    p = os.path.join(tmpdir_path, "noid.csv")
+    with open(p, "w") as fh:
+        fh.write("Disaster Type,Start Year\nEarthquake,2004\n")
+    with pytest.raises(ValueError, match="DisNo"):
+        read_disaster_csv(spark, p)
 
 
 def test_resume_year(spark):
