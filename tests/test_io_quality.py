@@ -103,6 +103,19 @@ def test_disaster_csv_without_business_id_is_rejected(spark, tmpdir_path):
         read_disaster_csv(spark, p)
 
 
+def test_rejects_raw_record_and_no_rerecording(spark):
+    bad = spark.createDataFrame([("x" * 30, 95.0, "y" * 5000), ("short", None, "z")],
+                                "EventId string, Latitude double, Place string")
+    rej = I.reject_rows(bad, 7)
+    rows = {r.EventId: r for r in rej.collect()}
+    assert set(rows) == {"x" * 20, "short"}
+    r = rows["x" * 20]
+    assert r.LoadBatchId == 7 and r.RejectReason == I.REJECT_REASON and len(r.RawRecord) == 4000
+    assert json.loads(rows["short"].RawRecord) == {"EventId": "short", "Place": "z"}
+    already = spark.createDataFrame([("short", I.REJECT_REASON)], "EventId string, RejectReason string")
+    assert [x.EventId for x in I.new_rejects(rej, already).collect()] == ["x" * 20]
+
+
 def test_resume_year(spark):
     cases = [(None, dt.date(2024, 5, 1), 2000), (dt.date(2023, 12, 31), dt.date(2024, 5, 1), 2024),
              (dt.date(2024, 5, 1), dt.date(2024, 5, 1), 2024)]
