@@ -43,11 +43,41 @@ def band_join(df: DataFrame, value: Column, bands: DataFrame, lo: str, hi: str,
     BroadcastNestedLoopJoin without any shuffle of ``df``.
     """
     b = bands.select(F.col(key).alias(key), F.col(lo).alias("__qh_lo"), F.col(hi).alias("__qh_hi"))
+    expr = _band_case(b, value, key, closed)
+    if expr is not None:
+        out = df.withColumn(key, expr)
+        return out.filter(F.col(key).isNotNull()) if how == "inner" else out
     upper = value <= F.col("__qh_hi") if closed else value < F.col("__qh_hi")
     cond = (value >= F.col("__qh_lo")) & upper
     return df.join(F.broadcast(b), cond, how).drop("__qh_lo", "__qh_hi")
 
 
+_MAX_CASE_BANDS = 64
+
+
+def _band_case(b: DataFrame, value: Column, key: str, closed: bool) -> Column | None:
+    """A band table of at most 64 non-overlapping rows as one CASE expression.
+
+    Same result as the range join (each value falls in at most one band), but it
+    stays inside whole-stage codegen instead of a nested-loop join. The read is
+    capped (``limit``) so at most 65 rows ever reach the driver; anything larger,
+    overlapping or with NULL bounds keeps the join.
+    """
+    rows = b.limit(_MAX_CASE_BANDS + 1).collect()
+    if len(rows) > _MAX_CASE_BANDS or any(r[1] is None or r[2] is None or r[0] is None for r in rows):
+        return None
+    ordered = sorted(rows, key=lambda r: r[1])
+    for prev, nxt in zip(ordered, ordered[1:]):
+        if nxt[1] < prev[2] or (closed and nxt[1] == prev[2]):
+            return None  # overlapping bands: a row may match several, keep join semantics
+    expr = None
+    for k, lo_v, hi_v in ordered:
+        upper = value <= F.lit(hi_v) if closed else value < F.lit(hi_v)
+        cond = (value >= F.lit(lo_v)) & upper
+        expr = F.when(cond, F.lit(k)) if expr is None else expr.when(cond, F.lit(k))
+    return expr
+
+
 def with_calendar_member(df: DataFrame, dim_date: DataFrame, key_col: str) -> DataFrame:
     """Keep rows whose computed date key exists in the calendar."""
     cal = dim_date.select(F.col("DateKey").alias("__qh_dk"))

@@ -40,6 +40,17 @@ def test_severity_bands_closed_with_default(spark):
     assert "CartesianProduct" not in plan
 
 
+def test_band_lookup_expression_and_overlap_fallback(spark):
+    df = spark.createDataFrame([(1, 7.0), (2, 12.0), (3, 20.0)], "i int, v double")
+    plain = spark.createDataFrame([(1, 0, 10), (2, 10, 15)], "k int, lo int, hi int")
+    out = L.band_join(df, F.col("v"), plain, "lo", "hi", "k")
+    assert sorted((r.i, r.k) for r in out.collect()) == [(1, 1), (2, 2)]
+    assert "NestedLoopJoin" not in out._jdf.queryExecution().executedPlan().toString()
+    overlap = spark.createDataFrame([(1, 0, 10), (2, 5, 15)], "k int, lo int, hi int")
+    out = L.band_join(df, F.col("v"), overlap, "lo", "hi", "k")
+    assert sorted((r.i, r.k) for r in out.collect()) == [(1, 1), (1, 2), (2, 2)]
+
+
 def test_assign_keys_matches_row_number(spark):
     random.seed(3)
     rows = [(random.randint(0, 50), random.choice([None, "a", "b", "c"]), i) for i in range(3000)]
