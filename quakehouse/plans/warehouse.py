@@ -34,6 +34,13 @@ AS_OF = _dt.date(2024, 1, 1)
 _STORED: dict[tuple, str] = {}
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    """Whether a stored table is still there (the shared folder may be cleaned)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 @dataclass
 class Warehouse:
     spark: SparkSession
@@ -52,7 +59,7 @@ class Warehouse:
         key = (self.spark.sparkContext.applicationId, self.sf_dir.rstrip("/"),
                self.as_of, self.key_mode, name)
         path = _STORED.get(key)
-        if path is None:
+        if path is None or not _exists(self.spark, path):
             path = scratch_path(self.spark, name)
             df = build()
             if partition_by:
