@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quakehouse.functions.columns import SENTINEL_ISO, date_key
-from quakehouse.operators.keys import assign_keys
+from quakehouse.operators.keys import assign_keys, next_key_start
 from quakehouse.session import materialize
 
 # ---------------------------------------------------------------- fixed values
@@ -185,7 +185,7 @@ def scd2_apply(dim: DataFrame, incoming: DataFrame, as_of: _dt.date | str,
     versions = inc.join(changed_keys, key, "left_semi").withColumn("__phase", F.lit(1))
     opened = new_rows.unionByName(versions)
 
-    start = dim.select(F.coalesce(F.max(surrogate), F.lit(0)).cast("bigint")).scalar()
+    start = next_key_start(dim, surrogate)
     # the dimension holds one row per country version: one key bucket is enough
     opened = assign_keys(opened, ["__phase", key], name=surrogate, start=start, buckets=1)
     opened = opened.select(

@@ -15,7 +15,7 @@ from quakehouse.functions.columns import (
     prefix_date,
     scale_thousands,
 )
-from quakehouse.operators.keys import assign_keys
+from quakehouse.operators.keys import assign_keys, next_key_start
 from quakehouse.operators.lookups import (
     band_join,
     keep_where_missing,
@@ -65,8 +65,7 @@ def _keys(df: DataFrame, name: str, key_mode: str, existing: DataFrame | None) -
     """Surrogate key: the staging identity (stable on re-runs) or dense K1 keys."""
     if key_mode == "stgid":
         return df.withColumn(name, F.col("StgId").cast("bigint"))
-    start = 0 if existing is None else existing.select(
-        F.coalesce(F.max(name), F.lit(0)).cast("bigint")).scalar()
+    start = 0 if existing is None else next_key_start(existing, name)
     return assign_keys(df, ["StgId"], name=name, start=start)
 
 
