@@ -107,6 +107,16 @@ def test_date_key_roundtrip(spark):
     assert r.k == 20041226 and r.d == dt.date(2004, 12, 26)
 
 
+def test_epoch_ms_iso_ignores_session_clock(spark):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        df = spark.createDataFrame([(1705300931340,)], "ms long")
+        assert df.select(C.epoch_ms_iso("ms")).first()[0] == "2024-01-15T06:42:11.340000+00:00"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+
+
 def test_epoch_ms_iso(spark):
     df = spark.createDataFrame([(1705300931340,), (1705276800000,), (None,)], "ms long")
     got = [r[0] for r in df.select(C.epoch_ms_iso("ms")).collect()]
