@@ -155,7 +155,9 @@ class Warehouse:
     # ------------------------------------------------------------ bridge
     @property
     def bridge_plan(self) -> DataFrame:
-        return B.build_bridge(self.fact_disaster, self.fact_seismic)
+        # same hot-key guard as the whole load (inactive unless a day is that hot)
+        from quakehouse.plans.load import HOT_KEY_ROWS
+        return B.build_bridge(self.fact_disaster, self.fact_seismic, hot_key_rows=HOT_KEY_ROWS)
 
     @cached_property
     def bridge(self) -> DataFrame:
