@@ -123,6 +123,19 @@ def test_expected_figures_sf0001(spark):
     assert (agg.null_end, agg.end_before, agg.dur, agg.neg, agg.dmg) == (1, 57, 36807, 603, 18393593000)
 
 
+def test_second_rename_same_day_is_flagged(spark):
+    from quakehouse.operators.quality import scd2_checks
+    day = dt.date(2024, 6, 1)
+    d1 = D.scd2_apply(D.empty_geography(spark), _master(spark, [(2, "AAA", "Alpha")]), day)
+    d2 = D.scd2_apply(d1, _master(spark, [(2, "AAA", "Alpha Two")]), day)
+    d3 = D.scd2_apply(d2, _master(spark, [(2, "AAA", "Alpha Three")]), day)
+    cur = d3.filter("IsCurrent = 1").collect()
+    assert len(cur) == 1 and cur[0].CountryName == "Alpha Three"
+    checks = {r.check_name: r.value for r in scd2_checks(d3).collect()}
+    # Q-16 kept: the version opened and closed on the same day has ValidTo < ValidFrom
+    assert checks == {"scd2_multiple_current": 0.0, "scd2_valid_to_before_from": 2.0}
+
+
 def test_promotion_twice_is_once(spark):
     stage = spark.createDataFrame(
         [(1, "2024-01-15T00:00:00", "AAA", "4.50", 10.0), (2, "None", "AAA", "5.00", 10.0),
