@@ -134,6 +134,15 @@ def test_nearest_place_matches_brute_force(spark):
     assert got == _brute(points, places)
 
 
+def test_nearest_place_max_km(spark):
+    places = spark.createDataFrame([(1, 0.0, 0.0), (2, 40.0, 40.0)], "place_id int, lat double, lon double")
+    pts = spark.createDataFrame([(10, 0.5, 0.5), (11, -60.0, -150.0)], "id int, lat double, lon double")
+    got = {r.id: r.place_id for r in G.nearest_place(pts, places).collect()}
+    assert got == {10: 1, 11: 1}
+    near = {r.id: r.place_id for r in G.nearest_place(pts, places, max_km=500).collect()}
+    assert near == {10: 1}  # the far point keeps no place (sentinel country downstream)
+
+
 def test_to_iso3(spark):
     codes = spark.createDataFrame([("JP", "JPN"), (None, "XIN")], "ISO2 string, ISO3 string")
     df = spark.createDataFrame([(1, "JP"), (2, ""), (3, "ZZ"), (4, None)], "i int, cc string")
