@@ -38,7 +38,7 @@ _LATIN = re.compile("[!-~À-ɏ]+")
 #: entries of each generation of a worker's chunk and word tables, and of its table of the first chunks met
 CACHE, HOT = 300_000, 16_000
 #: input rows and bytes handled per output batch
-ROWS, BYTES = 2_000, 8_000_000
+ROWS, BYTES = 2_000, 4_000_000
 
 
 def byte_symbols() -> list[str]:

@@ -32,3 +32,10 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = bpe.encode(docs, public_tokenizers.path(WORD_BPE), ids="ids", decoded="decoded")
     return rows.select("doc_id", bpe.n_ids(F.col("ids")).alias("n_tokens"),
                        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query("op5_cutting_stock_packing")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quakehouse.llm import packing
+
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE))
