@@ -39,3 +39,18 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quakehouse.llm import packing
 
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE))
+
+
+@query("op10_streaming_exact_dedup")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quakehouse.llm import exact_dedup
+
+    return exact_dedup.dedup(spark, f"{sf_dir}/documents.parquet").withColumnRenamed("digest", "text_sha256")
+
+
+ORACLE["op10_streaming_exact_dedup"] = """
+WITH t AS (SELECT doc_id, coalesce(text, '') AS body FROM documents),
+g AS (SELECT body, max(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY body)
+SELECT t.doc_id, g.keep_id, g.group_size, t.doc_id = g.keep_id AS kept, sha256(t.body) AS text_sha256
+FROM t JOIN g ON t.body = g.body
+"""
