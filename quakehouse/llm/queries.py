@@ -54,3 +54,10 @@ g AS (SELECT body, max(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP B
 SELECT t.doc_id, g.keep_id, g.group_size, t.doc_id = g.keep_id AS kept, sha256(t.body) AS text_sha256
 FROM t JOIN g ON t.body = g.body
 """
+
+
+@query("op7_bottom_k_near_dedup")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quakehouse.llm import near_dedup
+
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
