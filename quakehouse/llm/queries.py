@@ -61,3 +61,71 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quakehouse.llm import near_dedup
 
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op4_paragraph_minhash")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quakehouse.llm import substring_dedup
+
+    return substring_dedup.repeats(table(spark, sf_dir, "documents"))
+
+
+@query("op9_maxscore_topk")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quakehouse.llm import topk
+
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+ORACLE["op9_maxscore_topk"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS q FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x::DOUBLE))) = 0),
+pairs AS (
+  SELECT a.vec_id AS query_id, b.vec_id,
+         list_sum(list_transform(list_zip(a.q, b.q), lambda z: z[1] * z[2]))::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM pairs)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
+
+
+@query("op3_token_attribution")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quakehouse.llm import token_counts
+
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"),
+                                     public_tokenizers.PATTERN)
+
+
+@query("op8_license_digests")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quakehouse.llm import licenses
+
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+def _op8_oracle() -> str:
+    """The same scan in SQL: the known texts are normalised there too, with RE2's spelling of the patterns."""
+    from quakehouse.llm.licenses import COPYRIGHT, KNOWN, SPELLINGS
+
+    def canonical(x: str) -> str:
+        out = f"regexp_replace(lower({x}), '{COPYRIGHT}', ' ', 'g')"
+        out = f"trim(regexp_replace({out}, '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'))"
+        for said, means in SPELLINGS:
+            out = f"regexp_replace({out}, '\\b{said}\\b', '{means}', 'g')"
+        return out
+    values = ", ".join("('{}', '{}')".format(a, b.replace("'", "''")) for a, b in KNOWN)
+    return f"""
+WITH known AS (SELECT DISTINCT license, {canonical('said')} AS body FROM (VALUES {values}) AS k(license, said)),
+whole AS (SELECT doc_id, 'text' AS unit, NULL::INTEGER AS line, text AS said FROM documents),
+cut AS (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents WHERE contains(text, chr(10))),
+lines AS (SELECT doc_id, 'line' AS unit, (i - 1)::INTEGER AS line, parts[i] AS said
+          FROM (SELECT doc_id, parts, unnest(range(1, len(parts) + 1)) AS i FROM cut)),
+units AS (SELECT doc_id, unit, line, {canonical('said')} AS body FROM (SELECT * FROM whole UNION ALL SELECT * FROM lines))
+SELECT u.doc_id, u.unit, u.line, k.license, sha256(u.body) AS digest FROM units u JOIN known k ON u.body = k.body
+"""
+
+
+ORACLE["op8_license_digests"] = _op8_oracle()
