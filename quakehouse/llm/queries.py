@@ -129,3 +129,10 @@ SELECT u.doc_id, u.unit, u.line, k.license, sha256(u.body) AS digest FROM units
 
 
 ORACLE["op8_license_digests"] = _op8_oracle()
+
+
+@query("op2_crf_language")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quakehouse.llm import language
+
+    return language.identify(table(spark, sf_dir, "documents"))

@@ -52,6 +52,7 @@ class Words:
         raw = np.frombuffer(b" ".join(texts) + b" ", dtype=np.uint8)
         sizes = np.fromiter((len(t) for t in texts), np.int64, len(texts))
         self.origin = np.cumsum(sizes + 1) - sizes - 1
+        self.raw = raw
         gap = _GAP[raw]
         edge = np.flatnonzero(gap[1:] != gap[:-1]) + 1
         if len(raw) and not gap[0]:
