@@ -29,6 +29,10 @@ _ROCKS = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
+    # each state partition else reserves megabytes of disk before it holds a row
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+    # commits write what changed, not a copy of the state
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 
