@@ -44,17 +44,17 @@ def components(edges: DataFrame) -> DataFrame:
             .unionByName(current.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()))
 
 
-def resolve(lists: DataFrame, links: Callable[[DataFrame], DataFrame], slack: int = 4) -> DataFrame:
+def resolve(lists: DataFrame, links: Callable[[DataFrame], DataFrame], slack: int = 1) -> DataFrame:
     """Edges (a, b) whose components are those of all linked pairs that share a key of ``lists`` (key, node).
 
     ``links`` takes distinct pairs (a, b), a < b, and returns those that are linked. Pairs are compared one
-    by one once they are at most ``slack`` times the lists' rows.
+    by one once they are at most ``slack`` times the rows of all lists.
     """
     spark = lists.sparkSession
     lists = lists.distinct()
     lists = materialize(lists.join(lists.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key"), "key")
                         .withColumn("component", F.col("node")), "lists")
-    edges = spark.createDataFrame([], "a long, b long")
+    edges, enough = spark.createDataFrame([], "a long, b long"), slack * lists.count()
     while True:
         sizes = (lists.groupBy("key", "component").agg(F.count("*").alias("k"))
                  .groupBy("key").agg(F.sum("k").alias("n"), F.sum(F.col("k") * F.col("k")).alias("within"), F.count("*").alias("parts"))
@@ -63,7 +63,7 @@ def resolve(lists: DataFrame, links: Callable[[DataFrame], DataFrame], slack: in
         if not rows:
             return edges
         lists = lists.join(sizes.select("key"), "key")
-        last = left <= slack * rows
+        last = left <= enough
         if last:
             x, y = lists.alias("x"), lists.alias("y")
             pairs = x.join(y, "key").filter("x.node < y.node and x.component <> y.component").select(

@@ -142,11 +142,13 @@ def near_duplicates(docs: DataFrame, n: int = SHINGLE, k: int = K, percent: int
     lists = materialize(lists, "lists")
 
     def links(pairs: DataFrame) -> DataFrame:
-        p = nodes.select(F.col("node").alias("a"), F.col("n_shingles").alias("na"), F.col("sketch").alias("sa"))
-        q = nodes.select(F.col("node").alias("b"), F.col("n_shingles").alias("nb"), F.col("sketch").alias("sb"))
-        sized = pairs.join(p, "a").join(q, "b").filter(
-            100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
-        likely = materialize(compared(sized, "sa", "sb", plausible(k, percent), ["a", "b"]), "likely")
+        def of(end: str, *columns: str) -> DataFrame:
+            return nodes.select(F.col("node").alias(end), *[F.col(c).alias(f"{c}_{end}") for c in columns])
+
+        sized = pairs.join(of("a", "n_shingles"), "a").join(of("b", "n_shingles"), "b").filter(
+            100 * F.least("n_shingles_a", "n_shingles_b") >= percent * F.greatest("n_shingles_a", "n_shingles_b")).select("a", "b")
+        drawn = sized.join(of("a", "sketch"), "a").join(of("b", "sketch"), "b")
+        likely = materialize(compared(drawn, "sketch_a", "sketch_b", plausible(k, percent), ["a", "b"]), "likely")
         ids = likely.select(F.col("a").alias("node")).unionByName(likely.select(F.col("b").alias("node"))).distinct()
         sets = materialize(full_sets(docs, ids, n, doc_id, text), "sets")
         both = (likely.join(sets.select(F.col("node").alias("a"), F.col("set").alias("sa")), "a")
