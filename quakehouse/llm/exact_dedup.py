@@ -100,8 +100,9 @@ def classes(spark: SparkSession, path: str, doc_id: str = "doc_id", text: str =
     many = state.filter(F.col("group_size") > 1).select("digest", "keep")
     hits = materialize(rows_of(spark, path, doc_id, text, normalize, digest).join(many, "digest"), "dedup_hits")
     kept = hits.filter(F.col("at") == F.col("keep")).select("digest", F.col("text").alias("kept_text"))
-    wrong = hits.join(kept, "digest").filter(F.col("text") != F.col("kept_text")).select("digest").distinct()
-    wrong = materialize(wrong, "dedup_collisions")
+    # written before it is made distinct, so that the join may split a digest that many rows share
+    wrong = hits.join(kept, "digest").filter(F.col("text") != F.col("kept_text")).select("digest")
+    wrong = materialize(wrong, "dedup_collisions").distinct()
     exact = hits.join(wrong, "digest", "left_semi").groupBy("digest", "text").agg(
         F.max("at").alias("keep"), F.count("*").alias("group_size"))
     return state.join(wrong, "digest", "left_anti"), exact
