@@ -136,3 +136,11 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quakehouse.llm import language
 
     return language.identify(table(spark, sf_dir, "documents"))
+
+
+@query("op1_cotraining_quality")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quakehouse.llm import quality
+
+    docs = table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
