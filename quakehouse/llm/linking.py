@@ -44,7 +44,7 @@ def components(edges: DataFrame) -> DataFrame:
             .unionByName(current.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()))
 
 
-def resolve(lists: DataFrame, links: Callable[[DataFrame], DataFrame], slack: int = 1) -> DataFrame:
+def resolve(lists: DataFrame, links: Callable[[DataFrame], DataFrame], slack: int = 8) -> DataFrame:
     """Edges (a, b) whose components are those of all linked pairs that share a key of ``lists`` (key, node).
 
     ``links`` takes distinct pairs (a, b), a < b, and returns those that are linked. Pairs are compared one
