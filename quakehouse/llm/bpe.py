@@ -199,7 +199,7 @@ def slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
 def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids",
            decoded: str | None = None) -> DataFrame:
     """``docs`` with ``ids`` (binary, little-endian unsigned 32-bit) and, if named, the text decoded from them."""
-    added = [T.StructField(ids, T.BinaryType())] + [T.StructField(decoded, T.StringType())] * bool(decoded)
+    added = [T.StructField(ids, T.BinaryType())] + ([T.StructField(decoded, T.StringType())] if decoded else [])
     keep = [f for f in docs.schema.fields if f.name not in (ids, decoded)]
     read = keep + ([] if text in [f.name for f in keep] else [docs.schema[text]])
     names = [f.name for f in keep]
