@@ -87,7 +87,7 @@ def bigint_from_double(d) -> Column:
     Half-even rounding maps [-0.5, 0) to 0, so the valid inputs are [-0.5, 2^63).
     """
     d = _c(d)
-    ok = (d >= -0.5) & (d < 9.2e18)
+    ok = (d >= -0.5) & (d < float(2**63))
     return F.when(ok, F.bround(F.greatest(d, F.lit(0.0)), 0).cast("bigint"))
 
 
@@ -176,8 +176,8 @@ def partial_end(ey, em, ed, sy, sm, sd) -> Column:
 
 
 def scale_thousands(c) -> Column:
-    """Thousands of USD -> USD, NULL kept."""
-    return _c(c).cast("bigint") * F.lit(1000)
+    """Thousands of USD -> USD, NULL kept; an overflow is NULL."""
+    return F.try_multiply(_c(c).cast("bigint"), F.lit(1000).cast("bigint"))
 
 
 def status_band(pct) -> Column:

@@ -16,11 +16,11 @@ from quakehouse.functions.columns import SENTINEL_ISO
 
 def lookup_current(df: DataFrame, dim: DataFrame, on: str, dim_on: str = "ISO",
                    key: str = "GeographyKey", out: str | None = None) -> DataFrame:
-    """Left join to the current version of the dimension (IsCurrent = 1)."""
+    """Left join to the current version of the dimension (IsCurrent = 1); codes are compared upper-case and trimmed."""
     out = out or key
     cur = (dim.filter(F.col("IsCurrent") == 1)
            .select(F.col(dim_on).alias("__qh_on"), F.col(key).alias(out)))
-    return (df.join(F.broadcast(cur), df[on] == F.col("__qh_on"), "left")
+    return (df.join(F.broadcast(cur), F.upper(F.trim(df[on].cast("string"))) == F.col("__qh_on"), "left")
             .drop("__qh_on"))
 
 
