@@ -1,11 +1,14 @@
 """Links and components from inverted lists, without all pairs of a list.
 
 A list holds the nodes that share a key. Comparing all its pairs would grow with
-its square, so each round compares every node of a list with one pivot only.
-Nodes linked to the pivot are in its component, and nothing inside a component
-needs another comparison. The pivot then leaves the list (all its pairs are
-settled), lists with one component left end, and the next round goes on. Once
-what is left is small against the lists themselves, the remaining pairs between
+its square, so each round compares every node of a list with a few pivots only.
+Nodes linked to a pivot are in its component, and nothing inside a component
+needs another comparison. Pivots leave the list (all their pairs are settled),
+lists with one component left end, and the next round goes on. Pivots come from
+the smallest components: a large group keeps its members, and each straggler is
+settled against all of it at once. The first round has one pivot a list, later
+ones as many as keep a round's comparisons within a fixed multiple of the lists'
+rows. Once what is left is within that multiple too, the remaining pairs between
 different components are compared one by one. No pair whose link could change a
 component is left out, so the components are those of all links.
 """
@@ -18,6 +21,9 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from quakehouse.session import materialize
 
+#: pivots of a list in one round; the rest follow in later rounds
+MOST_PIVOTS = 64
+
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) of an undirected edge list (a, b): the smallest node reachable.
@@ -47,37 +53,44 @@ def components(edges: DataFrame) -> DataFrame:
 def resolve(lists: DataFrame, links: Callable[[DataFrame], DataFrame], slack: int = 8) -> DataFrame:
     """Edges (a, b) whose components are those of all linked pairs that share a key of ``lists`` (key, node).
 
-    ``links`` takes distinct pairs (a, b), a < b, and returns those that are linked. Pairs are compared one
-    by one once they are at most ``slack`` times the rows of all lists.
+    ``links`` takes distinct pairs (a, b), a < b, and returns those that are linked. A round compares at most
+    about ``slack`` times the rows of all lists.
     """
     spark = lists.sparkSession
     lists = lists.distinct()
     lists = materialize(lists.join(lists.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key"), "key")
                         .withColumn("component", F.col("node")), "lists")
-    edges, enough = spark.createDataFrame([], "a long, b long"), slack * lists.count()
+    edges, enough, first = spark.createDataFrame([], "a long, b long"), slack * lists.count(), True
     while True:
-        sizes = (lists.groupBy("key", "component").agg(F.count("*").alias("k"))
-                 .groupBy("key").agg(F.sum("k").alias("n"), F.sum(F.col("k") * F.col("k")).alias("within"), F.count("*").alias("parts"))
+        parts = lists.groupBy("key", "component").agg(F.count("*").alias("k"), F.min("node").alias("pivot"))
+        sizes = (parts.groupBy("key").agg(F.sum("k").alias("n"), F.sum(F.col("k") * F.col("k")).alias("within"), F.count("*").alias("parts"))
                  .filter("parts > 1"))
         rows, left = sizes.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum((F.col("n") * F.col("n") - F.col("within")) / 2), F.lit(0))).first()
         if not rows:
             return edges
+        last = left <= enough and not first
         lists = lists.join(sizes.select("key"), "key")
-        last = left <= enough
         if last:
             x, y = lists.alias("x"), lists.alias("y")
             pairs = x.join(y, "key").filter("x.node < y.node and x.component <> y.component").select(
                 F.col("x.node").alias("a"), F.col("y.node").alias("b"))
         else:
-            pivots = lists.groupBy("key").agg(F.min(F.struct("node", "component")).alias("p"))
-            paired = lists.join(pivots, "key").withColumn("pivot", F.col("p.node"))
-            pairs = paired.filter("component <> p.component").select(
+            # limited before the shuffle, so a list with very many components is no hot task
+            pivots = (parts.withColumn("place", F.row_number().over(Window.partitionBy("key").orderBy("k", "pivot")))
+                      .filter(F.col("place") <= (1 if first else max(1, min(MOST_PIVOTS, enough // rows))))
+                      .select("key", "pivot", F.col("component").alias("of")))
+            pivots = materialize(pivots, "pivots")
+            pairs = lists.join(pivots, "key").filter("component <> of").select(
                 F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b"))
         found = materialize(links(pairs.distinct()).select("a", "b"), "links")
-        edges = materialize(edges.unionByName(found), "edges")
+        grown = not found.isEmpty()
+        if grown:
+            edges = materialize(edges.unionByName(found), "edges")
         if last:
             return edges
-        labels = components(edges)
-        lists = materialize(
-            paired.filter("node <> pivot").select("key", "node").join(labels, "node", "left")
-            .select("key", "node", F.coalesce("component", "node").alias("component")), "lists")
+        first = False
+        lists = lists.join(pivots.select("key", F.col("pivot").alias("node")), ["key", "node"], "left_anti")
+        if grown:
+            lists = (lists.select("key", "node").join(components(edges), "node", "left")
+                     .select("key", "node", F.coalesce("component", "node").alias("component")))
+        lists = materialize(lists, "lists")

@@ -84,41 +84,53 @@ def full_sets(docs: DataFrame, nodes: DataFrame, n: int, doc_id: str, text: str)
 
 
 def compared(pairs: DataFrame, left: str, right: str, test, carry: list[str]) -> DataFrame:
-    """Rows of ``pairs`` for which ``test`` of two arrays of 64-bit values (the columns left, right) holds."""
+    """Rows of ``pairs`` for which ``test`` of the Arrow columns left and right holds."""
     schema = T.StructType([pairs.schema[c] for c in carry])
 
     def run(batches):
         for b in batches:
-            x, y = (b.column(b.schema.get_field_index(c)).to_pylist() for c in (left, right))
-            b = b.select(carry)
-            good = [test(p, q) for p, q in zip(x, y)]
-            yield b.filter(pa.array(good, pa.bool_()))
+            x, y = (b.column(b.schema.get_field_index(c)) for c in (left, right))
+            yield b.select(carry).filter(pa.array(test(x, y), pa.bool_()))
 
     return pairs.select(*carry, left, right).mapInArrow(run, schema)
 
 
 def close(percent: int):
-    """Test of two full sets (sorted, binary)."""
-    def test(x: bytes, y: bytes) -> bool:
-        p, q = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-        if 100 * min(len(p), len(q)) < percent * max(len(p), len(q)):
+    """Test of full sets (sorted, binary)."""
+    def one(x: bytes, y: bytes) -> bool:
+        if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
             return False
-        shared = len(np.intersect1d(p, q, assume_unique=True))
-        return 100 * shared >= percent * (len(p) + len(q) - shared) > 0
-    return test
+        both = np.frombuffer(x + y, np.uint64)
+        both = np.sort(both, kind="stable")  # merges the two sorted runs
+        shared = int(np.count_nonzero(both[1:] == both[:-1]))
+        return 100 * shared >= percent * (len(both) - shared) > 0
+
+    return lambda x, y: [one(p, q) for p, q in zip(x.to_pylist(), y.to_pylist())]
 
 
 def plausible(k: int, percent: int):
-    """Test of two sketches: the union's k smallest must show the overlap that near duplicates have."""
-    def test(x: list[int], y: list[int]) -> bool:
-        both = np.array(x + y, np.int64).view(np.uint64)
-        both.sort()
-        twice = both[1:] == both[:-1]
-        if len(x) < k and len(y) < k:  # whole sets
-            shared = int(twice.sum())
-            return 100 * shared >= percent * (len(both) - shared)
-        union = both[np.append(True, ~twice)][:k]
-        return int((twice & (both[1:] <= union[-1])).sum()) >= int(0.4 * k * percent / 80)
+    """Test of sketches' upper halves: the union's k smallest must show the overlap that near duplicates have.
+
+    Halves keep the order of the values; two that fall together only raise the overlap, so no pair is missed.
+    """
+    none = 2**40  # fills up sketches of fewer than k values
+
+    def table(x: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+        sizes = np.diff(x.offsets.to_numpy())
+        out = np.full((len(x), k), none, np.int64)
+        out[np.arange(k) < sizes[:, None]] = x.flatten().to_numpy().view(np.uint32)
+        return out, sizes
+
+    def test(x: pa.ListArray, y: pa.ListArray) -> np.ndarray:
+        (p, m), (q, n) = table(x), table(y)
+        both = np.concatenate((p, q), axis=1)
+        both.sort(axis=1)
+        same = both[:, 1:] == both[:, :-1]
+        twice = same & (both[:, 1:] != none)
+        rank = 1 + np.cumsum(~same, axis=1, dtype=np.int16)  # place of a value in the union
+        whole = twice.sum(axis=1)
+        least = (twice & (rank <= k)).sum(axis=1) >= int(0.4 * k * percent / 80)
+        return np.where((m < k) & (n < k), 100 * whole >= percent * (m + n - whole), least)
     return test
 
 
@@ -130,7 +142,9 @@ def near_duplicates(docs: DataFrame, n: int = SHINGLE, k: int = K, percent: int
     named = usable.groupBy("class").agg(F.min(F.col("doc_id").cast("long")).alias("node"))
     nodes = materialize(
         usable.select("class", "doc_id", "n_shingles", "sketch").join(named, "class")
-        .filter(F.col("doc_id") == F.col("node")).dropDuplicates(["class"]).select("node", "n_shingles", "sketch"), "classes")
+        .filter(F.col("doc_id") == F.col("node")).dropDuplicates(["class"])
+        .select("node", "n_shingles", "sketch",
+                F.transform("sketch", lambda v: F.shiftright(v, 32).cast("int")).alias("halves")), "classes")
     listed = nodes.select("node", "n_shingles", F.explode("sketch").alias("key"))
     often = listed.groupBy("key").agg(F.count("*").alias("df")).filter("df > 1")
     # a class's values that others hold too; the values it has alone are its rarest
@@ -148,8 +162,8 @@ def near_duplicates(docs: DataFrame, n: int = SHINGLE, k: int = K, percent: int
 
         sized = pairs.join(of("a", "n_shingles"), "a").join(of("b", "n_shingles"), "b").filter(
             100 * F.least("n_shingles_a", "n_shingles_b") >= percent * F.greatest("n_shingles_a", "n_shingles_b")).select("a", "b")
-        drawn = sized.join(of("a", "sketch"), "a").join(of("b", "sketch"), "b")
-        likely = materialize(compared(drawn, "sketch_a", "sketch_b", plausible(k, percent), ["a", "b"]), "likely")
+        drawn = sized.join(of("a", "halves"), "a").join(of("b", "halves"), "b")
+        likely = materialize(compared(drawn, "halves_a", "halves_b", plausible(k, percent), ["a", "b"]), "likely")
         ids = likely.select(F.col("a").alias("node")).unionByName(likely.select(F.col("b").alias("node"))).distinct()
         sets = materialize(full_sets(docs, ids, n, doc_id, text), "sets")
         both = (likely.join(sets.select(F.col("node").alias("a"), F.col("set").alias("sa")), "a")
