@@ -85,6 +85,24 @@ def knapsack(price: np.ndarray, weight: np.ndarray, room: int) -> tuple[float, d
     return float(best[room]), dict(counts)
 
 
+def inverted(matrix: np.ndarray) -> np.ndarray:
+    """The inverse by Gauss-Jordan steps (threaded library routines can stall beside other busy threads)."""
+    n = len(matrix)
+    both = np.hstack((matrix, np.eye(n)))
+    for i in range(n):
+        k = i + int(np.abs(both[i:, i]).argmax())
+        both[[i, k]] = both[[k, i]]
+        both[i] /= both[i, i]
+        factor = both[:, i].copy()
+        factor[i] = 0
+        both -= factor[:, None] * both[i]
+    return both[:, n:]
+
+
+def product(matrix: np.ndarray, vector: np.ndarray) -> np.ndarray:
+    return (matrix * vector).sum(axis=1)
+
+
 def solve(demand: dict[int, int], room: int, gap: float = GAP, rounds: int = 40) -> list[tuple[dict[int, int], float]]:
     """Patterns {class: pieces} with the (fractional) number of sequences of each, by column generation.
 
@@ -96,18 +114,18 @@ def solve(demand: dict[int, int], room: int, gap: float = GAP, rounds: int = 40)
     need = np.array([demand[int(c)] for c in classes], dtype=float)
     basis = [{i: room // int(c)} for i, c in enumerate(classes)]
     inverse = np.diag(1.0 / np.array([room // c for c in classes], dtype=float)) if n else np.zeros((0, 0))
-    x = inverse @ need
-    bound = float(classes @ need) / room
+    x = product(inverse, need)
+    bound = float((classes * need).sum()) / room
     for step in range(rounds * n):
         price = inverse.sum(axis=0)
         value, counts = knapsack(np.maximum(price, 0), classes, room)
-        bound = max(bound, float(np.maximum(price, 0) @ need) / max(value, 1.0))
+        bound = max(bound, float((np.maximum(price, 0) * need).sum()) / max(value, 1.0))
         if value <= 1 + 1e-7 or x.sum() <= bound * (1 + gap):
             break
         column = np.zeros(n)
         for i, k in counts.items():
             column[i] = k
-        turn = inverse @ column
+        turn = product(inverse, column)
         able = np.flatnonzero(turn > 1e-9)
         ratio = x[able] / turn[able]
         out = int(able[ratio.argmin()])
@@ -117,12 +135,12 @@ def solve(demand: dict[int, int], room: int, gap: float = GAP, rounds: int = 40)
             for j, c in enumerate(basis):
                 for i, k in c.items():
                     matrix[i, j] = k
-            inverse = np.linalg.inv(matrix)
+            inverse = inverted(matrix)
         else:
             pivot = inverse[out] / turn[out]
             inverse -= np.outer(turn, pivot)
             inverse[out] = pivot
-        x = np.maximum(inverse @ need, 0)
+        x = np.maximum(product(inverse, need), 0)
     return [({int(classes[i]): k for i, k in c.items()}, float(v)) for c, v in zip(basis, x)]
 
 
