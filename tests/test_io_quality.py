@@ -58,12 +58,13 @@ def test_dedup_with_a_hot_key(spark):
     rows = [(i, "hot" if i % 3 == 0 else f"id{i}", i * 1.5) for i in range(300)]
     rows += [(1000, None, 0.0), (1001, None, 1.0)]
     inc = spark.createDataFrame(rows, "StgId long, EventId string, v double")
+    inc = inc.withColumn("at", F.col("StgId"))
     staged = spark.createDataFrame([("id1",), ("id2",)], "EventId string")
     out = I.not_yet_staged(inc, staged, "EventId", order="StgId").collect()
     ids = {r.EventId: r.StgId for r in out if r.EventId is not None}
     assert ids["hot"] == 0 and "id1" not in ids and "id2" not in ids
     assert len(out) == 200 - 2 + 1 + 1  # 200 distinct ids + 1 hot, 2 staged removed, 1 NULL group
-    firsts = {r.EventId: r.StgId for r in first_per_key(inc, "EventId").collect()}
+    firsts = {r.EventId: r.StgId for r in first_per_key(inc, "EventId", "at").collect()}
     assert firsts["hot"] == 0 and len(firsts) == 202 - 0  # NULL-key rows are all kept
     kf = keep_first(inc, ["EventId"]).collect()
     assert sorted(r.StgId for r in kf if r.EventId in ("hot", None)) == [0, 1000]
@@ -106,7 +107,9 @@ def test_disaster_csv_without_business_id_is_rejected(spark, tmpdir_path):
 def test_rejects_raw_record_and_no_rerecording(spark):
     bad = spark.createDataFrame([("x" * 30, 95.0, "y" * 5000), ("short", None, "z")],
                                 "EventId string, Latitude double, Place string")
-    rej = I.reject_rows(bad, 7)
+    whole = {r.EventId: len(r.RawRecord) for r in I.reject_rows(bad, 7).collect()}
+    assert whole["x" * 30] > 5000  # uncut unless a width is given
+    rej = I.reject_rows(bad, 7, id_width=20, raw_width=4000)
     rows = {r.EventId: r for r in rej.collect()}
     assert set(rows) == {"x" * 20, "short"}
     r = rows["x" * 20]
@@ -116,6 +119,41 @@ def test_rejects_raw_record_and_no_rerecording(spark):
     assert [x.EventId for x in I.new_rejects(rej, already).collect()] == ["x" * 20]
 
 
+def test_rejects_without_id_are_recorded_once(spark):
+    bad = spark.createDataFrame([(None, 95.0), (None, 96.0)], "EventId string, Latitude double")
+    rej = I.reject_rows(bad, 7)
+    assert I.new_rejects(rej, rej).count() == 0
+    assert I.new_rejects(rej, rej.filter(F.col("RawRecord").contains("95"))).count() == 1
+
+
+def test_event_ingest_loses_no_row(spark, tmpdir_path):
+    from quakehouse.operators import staging as ST
+    from quakehouse.plans import fixtures as FX
+    from quakehouse.plans import warehouse as WH
+    from quakehouse.sources.readers import read_event_geojson
+    sf = "/root/testdata/sf0.001"
+
+    def feature(id_, time, lat=10.0, lon=20.0):
+        return {"type": "Feature", "id": id_, "properties": {"mag": 5.0, "time": time, "type": "earthquake"},
+                "geometry": {"type": "Point", "coordinates": [lon, lat, 10.0]}}
+    feats = [feature("p" * 20 + "a", 1000), feature("p" * 20 + "b", 2000),     # common prefix
+             feature(None, 3000), feature(None, 4000), feature("", 5000),     # no id
+             feature("copy", 6000), feature("copy", None),                    # the first copy stays
+             feature("zero", 7000, 0.0, 0.0), feature("minus", 8000, -0.0, -0.0)]
+    path = os.path.join(tmpdir_path, "odd_events.json")
+    with open(path, "w") as fh:
+        fh.writelines(json.dumps(f) + "\n" for f in feats)
+    flat = read_event_geojson(spark, path, lines=True)
+    got = ST.ingest_events(flat, 1, FX.places(spark, sf), WH.Warehouse(spark, sf).master)
+    rows = got.staged.collect()
+    assert len(rows) == 8 and sorted(r.StgId for r in rows) == list(range(1, 9)) and got.rejects.count() == 0
+    ids = [r.EventId for r in rows]
+    assert ids.count(None) == 3 and {"p" * 20 + "a", "p" * 20 + "b"} < set(ids)
+    by_id = {r.EventId: r for r in rows}
+    assert by_id["copy"].SrcTime is not None
+    assert by_id["zero"].ISO3 == by_id["minus"].ISO3
+
+
 def test_resume_year(spark):
     cases = [(None, dt.date(2024, 5, 1), 2000), (dt.date(2023, 12, 31), dt.date(2024, 5, 1), 2024),
              (dt.date(2024, 5, 1), dt.date(2024, 5, 1), 2024)]
@@ -133,6 +171,9 @@ def test_run_log_latest(spark):
         "RunId int, SourceSystem string, EventTime timestamp, Status string")
     got = {r.RunId: r.Status for r in I.run_log_latest(ev).collect()}
     assert got == {1: "FAILED", 2: "RUNNING"}
+    two = ev.unionByName(ev.withColumn("SourceSystem", F.lit("disasters")).withColumn("Status", F.lit("SUCCESS")))
+    got = {(r.RunId, r.SourceSystem): r.Status for r in I.run_log_latest(two).collect()}
+    assert len(got) == 4 and got[1, "events"] == "FAILED" and got[1, "disasters"] == "SUCCESS"
 
 
 def test_histogram_last_bin_closed(spark):
