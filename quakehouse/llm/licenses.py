@@ -1,7 +1,8 @@
 """Op 8: licence scans by canonical digests.
 
 Known licence texts and every text of the corpus (the whole text, and each of its
-lines) go through one normalisation: lower case, copyright lines dropped,
+lines) go through one normalisation: lower case, copyright notices dropped
+(lines of ``copyright`` or ``(c)`` with a sign, year or ``by``),
 equivalent spellings replaced, every run of other characters than letters and
 digits one space. Equal digests of the normalised texts are matches; the table of
 known digests is fixed, so it is broadcast.
@@ -53,7 +54,9 @@ KNOWN = [
     ("GPL-3.0", "Licensed under the GNU General Public License, version 3."),
     ("GPL-3.0", "SPDX-License-Identifier: GPL-3.0-only"),
 ]
-COPYRIGHT = r"(?m)^[ \t]*(?:copyright\b|\(c\)|©|all rights reserved)[^\n]*$"
+# Notices only: licence wording may be wrapped before "copyright" or "(c)" too.
+COPYRIGHT = (r"(?m)^[ \t]*(?:copyright[ \t]*(?:\(c\)|©|[0-9]{4}|by\b|[\[<{:])|\(c\)[ \t]*(?:copyright\b|[0-9]{4}|by\b)|©"
+             r"|all rights reserved[.]?[ \t\r]*$)[^\n]*$")
 SPELLINGS = [(r"licen[cs]e", "license"), (r"licen[cs]ed", "licensed"), (r"non commercial", "noncommercial"),
              (r"per cent", "percent"), (r"sub license", "sublicense"), (r"copyright owner", "copyright holder")]
 

@@ -1,6 +1,7 @@
 """Ops 3, 5, 6, 8, 9 and 10 against the libraries and brute force."""
 
 import hashlib
+import textwrap
 import zlib
 
 import numpy as np
@@ -147,6 +148,15 @@ def test_licences(spark):
     assert licenses.scan(df.limit(0)).count() == 0
 
 
+def test_licences_wrapped_anywhere(spark):
+    notice = "Copyright (c) 2020 Someone\n(c) 2021 by Others\nCopyright 2022 A, B\nCopyright by C\nAll rights reserved.\n\n"
+    rows = [(f"{n} {width}", notice + textwrap.fill(said, width)) for n, (_, said) in enumerate(licenses.KNOWN) for width in (30, 47, 60, 72, 79, 100)]
+    rows += [(f"{n} word", notice + "\n".join(said.split())) for n, (_, said) in enumerate(licenses.KNOWN)]
+    got = {r.doc_id: r.license for r in licenses.scan(spark.createDataFrame(rows, "doc_id string, text string")).filter("unit = 'text'").collect()}
+    print("wrapped texts matched", len(got), "of", len(rows))
+    assert got == {i: licenses.KNOWN[int(i.split()[0])][0] for i, _ in rows}
+
+
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_oracles(spark, name):
     from tests.oracle_check import compare, duck
