@@ -11,8 +11,9 @@ and the others are probed only for rows whose bound is still competitive. The
 shards' best k are merged.
 
 Defined results: vectors that are null or hold null or non-finite components,
-and rows without an identifier, take no part; of rows that share an identifier
-the smallest vector stands; shorter vectors count as padded with zeros; ties go to the smaller
+and rows without an identifier, take no part; rows that share an identifier are
+candidates each, and asked together if it is a query's (none of them is its own
+candidate); shorter vectors count as padded with zeros; ties go to the smaller
 identifier; a query with fewer than k candidates returns them all.
 """
 
@@ -26,13 +27,12 @@ SHARD, BLOCK, PROBE, SEED = 8192, 512, 8, 256
 
 
 def quantized(rows: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", scale: int = 1024) -> DataFrame:
-    """(vec_id, v): integer components floor(scale * x) of the usable vectors, one row per identifier."""
+    """(vec_id, v): integer components floor(scale * x) of the usable vectors."""
     x = F.col(vector)
     finite = F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c.cast("double")) & (F.abs(c.cast("double")) != float("inf")))
     return (rows.filter(F.col(vec_id).isNotNull() & x.isNotNull() & finite)
             .select(F.col(vec_id).cast("long").alias("vec_id"),
-                    F.transform(x, lambda c: F.floor(F.lit(float(scale)) * c.cast("double")).cast("long")).alias("v"))
-            .groupBy("vec_id").agg(F.min("v").alias("v")))
+                    F.transform(x, lambda c: F.floor(F.lit(float(scale)) * c.cast("double")).cast("long")).alias("v")))
 
 
 def maxscore(ids: np.ndarray, rows: np.ndarray, query: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -73,7 +73,7 @@ def top_k(rows: DataFrame, is_query: Column, k: int = 10, vec_id: str = "vec_id"
     v = quantized(rows, vec_id, vector, scale)
     n, queries = v.agg(F.count("*"), F.count(F.when(is_query, 1))).first()
     shards, blocks = max(1, -(-n // shard)), max(1, -(-queries // block))
-    part = lambda m, salt: F.pmod(F.xxhash64("vec_id", F.lit(salt)), F.lit(m)).cast("int")
+    part = lambda m, salt: F.pmod(F.xxhash64("vec_id", "v", F.lit(salt)), F.lit(m)).cast("int")
     every = lambda m: F.explode(F.sequence(F.lit(0), F.lit(m - 1)))
     cands = v.select(part(shards, 1).alias("shard"), every(blocks).alias("block"), "vec_id", "v")
     asked = v.filter(is_query).select(every(shards).alias("shard"), part(blocks, 2).alias("block"), F.col("vec_id").alias("query_id"), "v")

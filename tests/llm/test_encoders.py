@@ -121,6 +121,16 @@ def test_topk_brute_force(spark):
     assert len(few) == 2
 
 
+def test_topk_keeps_rows_that_share_an_identifier(spark):
+    rows = [(0, [1.0, 0.0]), (1, [-5.0, 0.0]), (1, [3.0, 0.0]), (2, [2.0, 0.0]), (100, [1.0, 0.0]), (100, [0.0, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted((r.query_id, r.rank, r.vec_id, r.score) for r in topk.top_k(df, F.col("vec_id") % 100 == 0, k=3).collect())
+    pairs = {q: sorted((-int(1024 * 1024 * (a @ b)), j) for i, a in [(i, np.array(v)) for i, v in rows] if i == q
+                       for j, b in [(j, np.array(v)) for j, v in rows] if j != q)[:3] for q in (0, 100)}
+    assert got == [(q, n + 1, j, -s) for q in (0, 100) for n, (s, j) in enumerate(pairs[q])]
+    assert got[0] == (0, 1, 1, 3 << 20)
+
+
 def test_token_attribution(spark):
     library = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
     library.encode_special_tokens = True
