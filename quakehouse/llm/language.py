@@ -180,15 +180,16 @@ def fit(docs: DataFrame, per_lang: int = PER_LANG, words: int = TRAIN_WORDS, doc
                    "move": np.frombuffer(got[0]["move"]).reshape(n, n), "begin": np.frombuffer(got[0]["begin"])}
 
 
-def predict(docs: DataFrame, model, text: str = "text") -> DataFrame:
-    """``docs`` with lang_pred and score."""
-    keep = [f for f in docs.schema.fields if f.name not in ("lang_pred", "score")]
+def predict(docs: DataFrame, model, text: str = "text", sure: str | None = None) -> DataFrame:
+    """``docs`` with lang_pred and score; column ``sure``, if named, is the mean over the words with letters of each one's highest posterior."""
+    extra = [sure] if sure else []
+    keep = [f for f in docs.schema.fields if f.name not in ("lang_pred", "score", sure)]
     names = [f.name for f in keep]
     at = names.index(text)
-    schema = T.StructType(keep + [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("__letter", T.BooleanType())])
+    schema = T.StructType(keep + [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), *(T.StructField(x, T.DoubleType()) for x in extra), T.StructField("__letter", T.BooleanType())])
     rows = docs.select(*names, F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)).alias("__letter"))
     if model is None:
-        return rows.select(*names, F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"))
+        return rows.select(*names, F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"), *(F.lit(0.0).alias(x) for x in extra))
     langs, m = model
     letters = np.zeros(256, bool)
     letters[[*range(65, 91), *range(97, 123), *range(128, 256)]] = True
@@ -198,24 +199,26 @@ def predict(docs: DataFrame, model, text: str = "text") -> DataFrame:
             for first, end in blocks(b, at):
                 w = Words(texts_of(b, at, first, end))
                 sizes, n = np.diff(w.first), end - first
-                total, words = np.zeros((n, len(langs))), np.zeros(n)
+                total, words, best = np.zeros((n, len(langs))), np.zeros(n), np.zeros(n)
                 if len(w.hash):
                     text_of = np.repeat(np.arange(n), sizes)
                     p = posteriors(emissions(w, m["weights"]), sizes, m["move"], m["begin"])
                     marks = np.concatenate(([0], np.cumsum(letters[w.raw])))
                     has = (marks[w.end] > marks[w.start]).astype(float)
                     words = np.bincount(text_of, has, n)
+                    best = np.bincount(text_of, p.max(1) * has, n)
                     for g in range(len(langs)):
                         total[:, g] = np.bincount(text_of, p[:, g] * has, n)
                 mean = total / np.maximum(words, 1)[:, None]
                 part = b.slice(first, end - first)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(i) for i in range(len(names))] + [pa.array([langs[i] for i in mean.argmax(1)]),
-                     pa.array(np.clip(mean.max(1), 0, 1)), part.column(len(names))], [*names, "lang_pred", "score", "__letter"])
+                     pa.array(np.clip(mean.max(1), 0, 1)), *(pa.array(np.clip(best / np.maximum(words, 1), 0, 1)) for _ in extra),
+                     part.column(len(names))], [*names, "lang_pred", "score", *extra, "__letter"])
 
     out = rows.mapInArrow(run, schema)
     return out.select(*names, F.when(F.col("__letter"), F.col("lang_pred")).otherwise("und").alias("lang_pred"),
-                      F.when(F.col("__letter"), F.col("score")).otherwise(0.0).alias("score"))
+                      *(F.when(F.col("__letter"), F.col(x)).otherwise(0.0).alias(x) for x in ("score", *extra)))
 
 
 def identify(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
