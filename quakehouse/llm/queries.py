@@ -144,3 +144,49 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = table(spark, sf_dir, "documents")
     return quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
+#: the rules of op12: host, path, verdict
+URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
+             ("net", "/es/", "block"), ("net", "/fr/", "block")]
+
+
+@query("op12_link_trust")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quakehouse.llm import link_trust
+
+    return link_trust.judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+def _op12_oracle() -> str:
+    """The same verdicts in SQL: one common table a round, all integer arithmetic."""
+    from quakehouse.llm.link_trust import DAMPING, HREF, LOWER, ROUNDS, UNIT, UPPER, URL
+
+    rules = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
+    href = HREF.replace("'", "''")
+    steps = "".join(f""",
+m{k} AS MATERIALIZED (SELECT e.kind, e.dst AS host, sum((m.mass * {DAMPING} // 100) // e.fan)::BIGINT AS mass
+  FROM m{k - 1} m JOIN e ON e.kind = m.kind AND e.src = m.host GROUP BY ALL HAVING sum((m.mass * {DAMPING} // 100) // e.fan) > 0)""" for k in range(1, ROUNDS + 1))
+    return f"""
+WITH rules(h, p, verdict) AS (VALUES {rules}),
+u AS MATERIALIZED (SELECT page_id, html, coalesce(translate(regexp_extract(url, '{URL}', 1), '{UPPER}', '{LOWER}'), '') AS host,
+  coalesce(regexp_extract(url, '{URL}', 2), '') AS path FROM pages),
+f AS MATERIALIZED (SELECT *, (SELECT max_by(struct_pack(rule := h || p, verdict := verdict), 1000 * length(h || p) + length(h)) FROM rules
+  WHERE (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)) AS found FROM u),
+g AS (SELECT host, CASE WHEN 2 * count(*) FILTER (found.verdict = 'allow') > count(*) THEN 'trust'
+  WHEN 2 * count(*) FILTER (found.verdict = 'block') > count(*) THEN 'distrust' END AS kind FROM f WHERE host <> '' GROUP BY host),
+links AS (SELECT DISTINCT src, dst FROM (SELECT host AS src, translate(unnest(regexp_extract_all(html, '{href}', 1)), '{UPPER}', '{LOWER}') AS dst
+  FROM u WHERE host <> '') WHERE src <> dst),
+b AS (SELECT 'trust' AS kind, src, dst FROM links UNION ALL SELECT 'distrust', dst, src FROM links),
+e AS MATERIALIZED (SELECT *, count(*) OVER (PARTITION BY kind, src) AS fan FROM b),
+m0 AS MATERIALIZED (SELECT kind, host, {UNIT}::BIGINT // count(*) OVER (PARTITION BY kind) AS mass FROM g WHERE kind IS NOT NULL){steps},
+t AS MATERIALIZED (SELECT host, coalesce(sum(mass) FILTER (kind = 'trust'), 0)::HUGEINT AS trust, coalesce(sum(mass) FILTER (kind = 'distrust'), 0)::HUGEINT AS distrust
+  FROM ({' UNION ALL '.join(f'SELECT * FROM m{k}' for k in range(ROUNDS + 1))}) GROUP BY host),
+bad AS (SELECT host FROM t WHERE CASE WHEN (SELECT sum(trust) FROM t) = 0 THEN distrust > 0
+  ELSE distrust * (SELECT sum(trust) FROM t)::HUGEINT > trust * (SELECT sum(distrust) FROM t)::HUGEINT END)
+SELECT page_id, host, path, found.rule AS rule,
+  coalesce(found.verdict, CASE WHEN host IN (SELECT host FROM bad) THEN 'block' ELSE 'allow' END) AS verdict FROM f
+"""
+
+
+ORACLE["op12_link_trust"] = _op12_oracle()
