@@ -190,3 +190,51 @@ SELECT page_id, host, path, found.rule AS rule,
 
 
 ORACLE["op12_link_trust"] = _op12_oracle()
+
+
+@query("op13_periodic_runs")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quakehouse.llm import periodic_runs
+
+    # the contract's texts: every tenth document (by checksum) becomes periodic from word a on; a null id leaves its text
+    # (the lists of words exist only for those)
+    h = F.crc32(F.col("doc_id").cast("string"))
+    docs = (table(spark, sf_dir, "documents").select("doc_id", "text", h.alias("h"))
+            .withColumn("words", F.when(F.col("h") % 10 == 0, F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), 0)))
+            .withColumn("n", F.coalesce(F.size("words"), F.lit(0)).cast("long"))
+            .withColumn("a", F.when(F.col("n") > 0, F.expr("(h div 10) % n")))
+            .withColumn("p", F.expr("1 + (n - a) div (3 + (h div 10) % 8)"))
+            .select("doc_id", F.expr("""CASE WHEN n > 0 THEN concat_ws(' ', transform(sequence(0L, n - 1),
+                i -> words[int(IF(i < a, i, a + (i - a) % p))])) ELSE text END""").alias("text")))
+    found = periodic_runs.find_runs(docs)
+    best = F.expr("array_max(transform(runs, r -> struct(r.length AS length, -r.start AS start, -r.period AS period)))")
+    lines = F.expr("concat_ws('', transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\\n')))")
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.start")).alias("start"), F.col("best.length").alias("length"),
+        (-F.col("best.period")).alias("period"), F.expr("(1000 * best.length) div (-best.period)").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+@query("op11_sketch_search")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quakehouse.llm import lexical_search
+
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLE["op11_sketch_search"] = r"""
+WITH words AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                 '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
+tf AS MATERIALIZED (SELECT doc_id, term, count(*) AS tf FROM words GROUP BY ALL),
+len AS MATERIALIZED (SELECT doc_id, sum(tf)::BIGINT AS n FROM tf GROUP BY doc_id),
+stat AS (SELECT count(*) AS docs, sum(n)::BIGINT AS terms FROM len),
+asked AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                 '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+weight AS (SELECT term, floor(1000 * ln((2 * any_value(docs) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+           FROM tf, stat WHERE term IN (SELECT term FROM asked) GROUP BY term),
+scored AS (SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // terms))))::BIGINT AS score
+           FROM asked JOIN weight USING (term) JOIN tf USING (term) JOIN len USING (doc_id), stat GROUP BY item_id, doc_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank FROM scored WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
