@@ -228,6 +228,12 @@ def cos_lat(lat_deg) -> Column:
     return F.cos(_rad(_c(lat_deg)))
 
 
+def unit_vector(lat_deg, lon_deg) -> tuple[Column, Column, Column]:
+    """Point of the unit sphere; the straight distance of two points grows with their great-circle distance."""
+    la, lo = _rad(_c(lat_deg)), _rad(_c(lon_deg))
+    return F.cos(la) * F.cos(lo), F.cos(la) * F.sin(lo), F.sin(la)
+
+
 def haversine_parts_km(lat1, lon1, cos1, lat2, lon2, cos2) -> Column:
     """X1 from per-row parts: rounded coordinates and the cosines of their latitudes.
 
@@ -249,14 +255,3 @@ def raw_haversine_parts_km(lat1, lon1, cos1, lat2, lon2, cos2) -> Column:
          + _c(cos1) * _c(cos2) * F.pow(F.sin(_rad(lo2 - lo1) / 2), 2))
     a = F.when(a > 1.0, F.lit(1.0)).otherwise(a)
     return F.lit(EARTH_RADIUS_KM) * 2.0 * F.atan2(F.sqrt(a), F.sqrt(1.0 - a))
-
-
-def raw_haversine_km(lat1, lon1, lat2, lon2) -> Column:
-    """Unrounded haversine on doubles (for nearest-neighbour ranking)."""
-    la1, lo1, la2, lo2 = (_c(x).cast("double") for x in (lat1, lon1, lat2, lon2))
-    dlat = _rad(la2 - la1)
-    dlon = _rad(lo2 - lo1)
-    a = (F.pow(F.sin(dlat / 2), 2)
-         + F.cos(_rad(la1)) * F.cos(_rad(la2)) * F.pow(F.sin(dlon / 2), 2))
-    a = F.when(a > 1.0, F.lit(1.0)).otherwise(a)
-    return F.lit(EARTH_RADIUS_KM) * 2.0 * F.atan2(F.sqrt(a), F.sqrt(1.0 - a))

@@ -1,25 +1,44 @@
 """Spatio-temporal bridge between disasters and seismic events.
 
 A disaster links to every event of the same geography whose date lies in
-[start - W, start] and whose epicentre is within R km. Disasters without a
-latitude link to all same-geography events in the window (distance NULL).
+[start - W, start] and whose epicentre is within R km. Disasters without
+coordinates link to all same-geography events in the window (distance NULL).
 
 Spark has no interval join, and a join on geography alone would pair every
 disaster with every event of a busy country. Instead the *small* side
-(disasters) is exploded into its W + 1 candidate dates, and the join becomes an
-equi-join on (geography, date key): hash-partitioned, no cartesian product,
-and a hot country is spread over its dates. AQE decides at run time whether the
-exploded side is small enough to broadcast and splits skewed partitions.
+(disasters) is exploded into its W + 1 candidate dates and into the space cells
+its circle meets, and the join becomes an equi-join on (geography, date, cell).
+
+Cells are cubes over the 3-D unit vectors of the coordinates, so poles, the date
+line and latitudes past 90 need no case of their own: points within R km are
+within a fixed chord of each other, a cube's side is twice that chord, and a
+disaster takes those of its own and the 26 neighbouring cubes that its ball
+meets and the sphere passes (5.5 on average). Candidate pairs are then some five
+times the links where events are spread evenly, whatever a day's total.
+
+A key can still be hot (an aftershock swarm beside many disasters). Its pairs
+are n events times m disasters, so both are counted - after a semi join, so only
+events of touched days are read - and keys of more pairs than one task should
+form are split: events by a hash, the disasters' copies once per part.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quakehouse.functions.columns import coord, cos_lat, date_key, haversine_parts_km, key_to_date
+from quakehouse.functions.columns import (
+    EARTH_RADIUS_KM,
+    coord,
+    cos_lat,
+    date_key,
+    haversine_parts_km,
+    key_to_date,
+    unit_vector,
+)
 from quakehouse.operators.dims import CALENDAR_END, CALENDAR_START
 from quakehouse.operators.lookups import keep_where_missing
 from quakehouse.session import materialize
@@ -29,6 +48,11 @@ RADIUS_KM = 100
 WINDOW_DAYS = 3
 # Partition column of a stored seismic fact (event year).
 YEAR_COLUMN = "DateYear"
+# A cell's side as a multiple of the radius' chord.
+CELL_PER_RADIUS = 2.0
+# Hot keys that are split at most, the hottest first: the bound of what is broadcast.
+# Keys beyond it are joined unsplit.
+MOST_HOT_KEYS = 100_000
 
 
 def with_event_year(fact: DataFrame) -> DataFrame:
@@ -38,20 +62,50 @@ def with_event_year(fact: DataFrame) -> DataFrame:
 
 def _durable(df: DataFrame, dim_geo: DataFrame) -> DataFrame:
     m = dim_geo.select(F.col("GeographyKey").alias("__g"), F.col("CountryDurableKey"))
-    return df.join(F.broadcast(m), df["GeographyKey"] == F.col("__g")).drop("__g")
+    return df.join(m, df["GeographyKey"] == F.col("__g")).drop("__g")
+
+
+def _radius_chord(radius_km: float) -> float:
+    """Chord of the unit sphere that any distance of at most ``radius_km``, rounded to 3 decimals, stays below."""
+    return 2 * math.sin(min(math.pi / 2, (radius_km + 0.001) / (2 * EARTH_RADIUS_KM)))
+
+
+def cell(at: tuple[Column, Column, Column], radius_km: float) -> Column:
+    """The cube of a point of the unit sphere: struct(x, y, z)."""
+    side = CELL_PER_RADIUS * _radius_chord(radius_km)
+    return F.struct(*[F.floor(v / F.lit(side)).cast("int").alias(n) for n, v in zip("xyz", at)])
+
+
+def cells_within(at: tuple[Column, Column, Column], radius_km: float) -> Column:
+    """The cubes that hold any point within ``radius_km`` of a point: array of struct(x, y, z)."""
+    reach = _radius_chord(radius_km) + 1e-9
+    side = CELL_PER_RADIUS * _radius_chord(radius_km)
+    steps = F.array(*[F.array(F.lit(a), F.lit(b), F.lit(c)) for a in (-1, 0, 1) for b in (-1, 0, 1) for c in (-1, 0, 1)])
+    cubes = F.transform(steps, lambda o: F.struct(*[(F.floor(v / F.lit(side)).cast("int") + o[i]).alias(n) for i, (n, v) in enumerate(zip("xyz", at))]))
+
+    def meets(c: Column) -> Column:
+        gap = low = high = F.lit(0.0)
+        for n, v in zip("xyz", at):
+            lo, hi = c[n] * F.lit(side), (c[n] + 1) * F.lit(side)
+            gap += F.pow(F.greatest(lo - v, v - hi, F.lit(0.0)), 2)
+            low += F.when((lo <= 0) & (hi >= 0), F.lit(0.0)).otherwise(F.pow(F.least(F.abs(lo), F.abs(hi)), 2))
+            high += F.pow(F.greatest(F.abs(lo), F.abs(hi)), 2)
+        return (gap <= reach * reach) & (low <= 1 + 1e-9) & (high >= 1 - 1e-9)
+
+    return F.filter(cubes, meets)
 
 
 def build_bridge(disasters: DataFrame, seismic: DataFrame, existing: DataFrame | None = None,
                  radius_km: float = RADIUS_KM, window_days: int = WINDOW_DAYS,
                  match_on: str = "GeographyKey", dim_geo: DataFrame | None = None,
                  calendar: tuple[_dt.date, _dt.date] = (CALENDAR_START, CALENDAR_END),
-                 hot_key_rows: int | None = None, salts: int = 16) -> DataFrame:
+                 hot_key_rows: int | None = None, salts: int | None = None) -> DataFrame:
     """New bridge rows (DisasterKey, SeismicKey, DistanceKM, TimeLagDays).
 
     Only disasters without any existing bridge row are (re)matched (J8).
     ``match_on="CountryDurableKey"`` matches across country versions (needs ``dim_geo``).
-    ``hot_key_rows``: split (geography, day) keys with more events than this over
-    ``salts`` tasks (AQE's skew-join split applies in any case).
+    ``hot_key_rows``: keys with more candidate pairs (events times disasters) than this
+    are split into parts of about so many (``salts``: into so many at most).
     """
     todo = disasters if existing is None else keep_where_missing(disasters, existing, "DisasterKey")
     ev = seismic
@@ -67,6 +121,8 @@ def build_bridge(disasters: DataFrame, seismic: DataFrame, existing: DataFrame |
             coord("Latitude").alias("__dlat"), coord("Longitude").alias("__dlon"))
          .filter(F.col("__start").isNotNull())
          .withColumn("__dcos", cos_lat("__dlat"))
+         .withColumns(dict(zip(("__x", "__y", "__z"), unit_vector("__dlat", "__dlon"))))
+         .withColumn("__cells", cells_within((F.col("__x"), F.col("__y"), F.col("__z")), radius_km))
          .withColumn("TimeLagDays", F.explode(F.sequence(F.lit(0), F.lit(int(window_days)))))
          .withColumn("__day", F.date_sub("__start", F.col("TimeLagDays")))
          # the event date must itself be a calendar member
@@ -79,42 +135,51 @@ def build_bridge(disasters: DataFrame, seismic: DataFrame, existing: DataFrame |
     s = ev.select(
         "SeismicKey", F.col(match_on).alias("__geo"), F.col("DateKey").alias("__dk"),
         year.alias("__yr"), coord("Latitude").alias("__slat"), coord("Longitude").alias("__slon"))
-    s = s.withColumn("__scos", cos_lat("__slat"))
     keys = ["__geo", "__yr", "__dk"]
-    if hot_key_rows:
-        d, s = _split_hot_keys(d, s, keys, hot_key_rows, salts)
-        keys = keys + ["__salt"]
-    j = d.join(s, keys)
-    dist = haversine_parts_km("__dlat", "__dlon", "__dcos", "__slat", "__slon", "__scos")
-    j = j.withColumn("__dist", dist)
-    keep = F.col("__dlat").isNull() | (F.col("__dist") <= F.lit(float(radius_km)))
-    both = F.col("__dlat").isNotNull() & F.col("__slat").isNotNull()
-    return j.filter(keep).select(
-        "DisasterKey", "SeismicKey",
-        # compared in double (rounded to 3 decimals), stored as decimal(10,3)
-        F.when(both, F.col("__dist")).cast("decimal(10,3)").alias("DistanceKM"),
-        F.col("TimeLagDays").cast("int").alias("TimeLagDays"),
-    )
-
-
-def _split_hot_keys(d: DataFrame, s: DataFrame, keys: list[str], hot_key_rows: int,
-                    salts: int) -> tuple[DataFrame, DataFrame]:
-    """Salt only the hot join keys: their events are spread by a hash of the event
-    key over ``salts`` values, and their (few) exploded disasters are replicated
-    once per salt; all other keys keep salt 0. The hot-key set is bounded by
-    rows / hot_key_rows, so it is broadcast."""
-    hot = (s.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-           .filter(F.col("__n") > hot_key_rows).select(*keys, F.lit(True).alias("__hot")))
+    # with coordinates: by day and cell, then by distance (compared in double, rounded to
+    # 3 decimals; stored as decimal(10,3))
+    near_d = (d.filter(F.col("__dlat").isNotNull() & F.col("__dlon").isNotNull())
+              .withColumn("__cell", F.explode("__cells")).drop("__cells", "__x", "__y", "__z"))
+    near_s = (s.filter(F.col("__slat").isNotNull() & F.col("__slon").isNotNull())
+              .withColumn("__scos", cos_lat("__slat")).withColumn("__cell", cell(unit_vector("__slat", "__slon"), radius_km)))
+    near_d, near_s, near_keys = _split_hot_keys(near_d, near_s, [*keys, "__cell"], hot_key_rows, salts)
+    near = (near_d.join(near_s, near_keys)
+            .withColumn("__dist", haversine_parts_km("__dlat", "__dlon", "__dcos", "__slat", "__slon", "__scos"))
+            .filter(F.col("__dist") <= F.lit(float(radius_km))))
+    # without a latitude: every event of the day. Those events are result rows, not mere candidates
+    all_d, all_s, all_keys = _split_hot_keys(d.filter(F.col("__dlat").isNull()), s, keys, hot_key_rows, salts)
+    everywhere = all_d.join(all_s, all_keys).withColumn("__dist", F.lit(None).cast("double"))
+    out = ["DisasterKey", "SeismicKey", F.col("__dist").cast("decimal(10,3)").alias("DistanceKM"),
+           F.col("TimeLagDays").cast("int").alias("TimeLagDays")]
+    return near.select(*out).unionByName(everywhere.select(*out))
+
+
+def candidate_pairs(d: DataFrame, s: DataFrame, keys: list[str]) -> DataFrame:
+    """Pairs each key makes (``__pairs``) and its events (``__events``); only events of touched keys are shuffled."""
+    asked = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("__asked"))
+    held = s.join(asked.select(*keys), keys, "left_semi").groupBy(*keys).agg(F.count(F.lit(1)).alias("__events"))
+    return held.join(asked, keys).withColumn("__pairs", F.col("__events") * F.col("__asked"))
+
+
+def _split_hot_keys(d: DataFrame, s: DataFrame, keys: list[str], hot_key_rows: int | None,
+                    salts: int | None) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Salt only the hot join keys, each by as many salts as its pairs call for; other keys keep salt 0."""
+    if not hot_key_rows:
+        return d, s, keys
+    parts = F.least(F.ceil(F.col("__pairs") / F.lit(hot_key_rows)), F.col("__events"))
+    if salts:
+        parts = F.least(parts, F.lit(salts))
+    hot = (candidate_pairs(d, s, keys).filter(F.col("__pairs") > hot_key_rows)
+           .orderBy(F.desc("__pairs")).limit(MOST_HOT_KEYS).select(*keys, parts.cast("int").alias("__parts")))
     hot = materialize(hot, "bridge_hot_keys")
-    s = (s.join(F.broadcast(hot), keys, "left")
-         .withColumn("__salt", F.when(F.col("__hot"), F.pmod(F.xxhash64("SeismicKey"), F.lit(salts)))
-                     .otherwise(F.lit(0)).cast("int"))
-         .drop("__hot"))
+    if hot.isEmpty():
+        return d, s, keys
+    salt = F.pmod(F.xxhash64("SeismicKey"), F.coalesce(F.col("__parts"), F.lit(1))).cast("int")
+    s = s.join(F.broadcast(hot), keys, "left").withColumn("__salt", salt).drop("__parts")
     d = (d.join(F.broadcast(hot), keys, "left")
-         .withColumn("__salt", F.explode(F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(salts - 1)))
-                                         .otherwise(F.array(F.lit(0)))))
-         .drop("__hot"))
-    return d, s
+         .withColumn("__salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("__parts"), F.lit(1)) - 1)))
+         .drop("__parts"))
+    return d, s, [*keys, "__salt"]
 
 
 def without_links(disasters: DataFrame, bridge: DataFrame) -> DataFrame:

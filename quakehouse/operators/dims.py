@@ -186,8 +186,7 @@ def scd2_apply(dim: DataFrame, incoming: DataFrame, as_of: _dt.date | str,
     opened = new_rows.unionByName(versions)
 
     start = next_key_start(dim, surrogate)
-    # the dimension holds one row per country version: one key bucket is enough
-    opened = assign_keys(opened, ["__phase", key], name=surrogate, start=start, buckets=1)
+    opened = assign_keys(opened, ["__phase", key], name=surrogate, start=start)
     opened = opened.select(
         surrogate, "CountryName", "ISO", "SubRegion", "Region",
         as_of_col.alias("ValidFrom"), F.lit(None).cast("date").alias("ValidTo"),
@@ -219,11 +218,3 @@ def rename_countries(master: DataFrame, renames: dict[str, str]) -> DataFrame:
     for iso, new in renames.items():
         name = F.when(F.col("ISO3") == iso, F.lit(new)).otherwise(name)
     return master.withColumn("CountryName", name)
-
-
-def current_rows(dim: DataFrame) -> DataFrame:
-    return dim.filter(F.col("IsCurrent") == 1)
-
-
-def as_date(c: Column | str) -> Column:
-    return F.to_date(c) if isinstance(c, str) else c

@@ -3,50 +3,45 @@
 The reference re-runs a daily batch that re-queries the current year and skips
 ids already staged (U8 + J6). The streaming form: new files in a landing folder
 are picked up by a file source; every micro-batch runs the same batch ingest
-(geocode, validity split, dedup against staged ids) and writes the batch's
-partition. Each micro-batch writes its own ``LoadBatchId = epoch`` partition
-with dynamic overwrite and dedups against *other* batches only, so a replayed
-epoch after a failure rewrites exactly the same rows (idempotent sink).
+(geocode, validity split, dedup against staged ids, stable ids) and becomes visible
+as one change of the warehouse's tables. A batch is known by its stream's name and
+its epoch and dedups against *other* batches only, so a replayed epoch after a
+failure replaces exactly its own rows, and two streams never meet in one batch.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from quakehouse.operators import staging as ST
-from quakehouse.sources import sinks
 from quakehouse.sources.readers import FEATURE_SCHEMA, flatten_features
+from quakehouse.sources.versions import Tables
 
 
-def _existing(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:
-        return None
-
-
-def stream_events(spark: SparkSession, landing_dir: str, staging_path: str, rejects_path: str,
+def stream_events(spark: SparkSession, landing_dir: str, out_root: str,
                   places: DataFrame, codes: DataFrame, checkpoint_location: str,
-                  max_files_per_trigger: int | None = None):
-    """Start an available-now stream over GeoJSON-lines files; returns the query handle."""
+                  max_files_per_trigger: int | None = None, name: str = "events"):
+    """Start an available-now stream over GeoJSON-lines files; returns the query handle.
+
+    Writes ``event_stage``, ``event_rejects`` and ``event_keys`` (the id registry) of the
+    warehouse folder ``out_root``; ``LoadBatchId`` is the epoch within the stream ``name``.
+    """
     reader = spark.readStream.schema(FEATURE_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     features = reader.json(landing_dir)
 
     def per_batch(batch: DataFrame, epoch_id: int) -> None:
-        staged = _existing(spark, staging_path)
-        rejected = _existing(spark, rejects_path)
-        if staged is not None:
-            staged = staged.filter(F.col("LoadBatchId") != epoch_id)
-        if rejected is not None:
-            rejected = rejected.filter(F.col("LoadBatchId") != epoch_id)
+        change, run = Tables(spark, out_root).change(), f"{name}-{epoch_id}"
         res = ST.ingest_events(flatten_features(batch), epoch_id, places, codes,
-                               staged=staged, rejected=rejected)
-        sinks.append_batch(res.staged, staging_path)
-        sinks.append_batch(res.rejects, rejects_path)
+                               staged=change.read("event_stage", run), rejected=change.read("event_rejects", run),
+                               registry=change.read("event_keys"), batch_name=run)
+        change.put("event_stage", res.staged, run)
+        change.put("event_rejects", res.rejects, run)
+        # a replayed epoch finds its ids in the registry and adds none
+        if "event_keys" not in change.tables or not res.keys.isEmpty():
+            change.put("event_keys", res.keys, f"{run}-v{change.version}")
+        change.commit()
 
     return (features.writeStream.foreachBatch(per_batch)
             .option("checkpointLocation", checkpoint_location)

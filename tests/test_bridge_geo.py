@@ -110,6 +110,53 @@ def test_bridge_hot_key_split_is_exact(spark):
     assert salted.exceptAll(plain).count() == 0 and plain.exceptAll(salted).count() == 0
 
 
+def _hv_links(disasters, events, radius=100.0, window=3):
+    import datetime
+    day = lambda k: datetime.date(k // 10000, k // 100 % 100, k % 100)
+    out = set()
+    for d, dk, dg, dla, dlo in disasters:
+        for e, ek, eg, ela, elo in events:
+            if dg == eg and 0 <= (day(dk) - day(ek)).days <= window:
+                if dla is None or (ela is not None and dlo is not None and elo is not None
+                                   and round(_hv(dla, dlo, ela, elo), 3) <= radius):
+                    out.add((d, e))
+    return out
+
+
+def test_bridge_cells_match_brute_force_at_poles_date_line_and_beyond(spark):
+    rnd = random.Random(3)
+    spots = [(89.99, 0.0), (-89.99, 77.0), (0.0, 179.99), (0.0, -179.99), (45.0, 45.0), (95.0, 10.0), (85.0, -170.0), (0.0, 0.0)]
+    near = lambda: (lambda s: (s[0] + rnd.uniform(-1, 1), s[1] + rnd.uniform(-1.5, 1.5)))(rnd.choice(spots))
+    events = [(i, 20040100 + rnd.randrange(1, 9), 7, *near()) for i in range(900)] + [(2000, 20040105, 7, None, None)]
+    disasters = [(i, 20040100 + rnd.randrange(1, 12), 7, *near()) for i in range(120)]
+    disasters += [(500, 20040106, 7, None, None), (501, 20040106, 7, 45.0, None), (502, 20040106, 8, 45.0, 45.0)]
+    events = [tuple(round(x, 5) if isinstance(x, float) else x for x in e) for e in events]
+    disasters = [tuple(round(x, 5) if isinstance(x, float) else x for x in d) for d in disasters]
+    d, s = _facts(spark, disasters, events)
+    for radius in (100.0, 5.0, 30_000.0):
+        got = [(r.DisasterKey, r.SeismicKey) for r in B.build_bridge(d, s, radius_km=radius).collect()]
+        assert len(got) == len(set(got)) and set(got) == _hv_links(disasters, events, radius)
+
+
+def test_bridge_candidates_stay_near_the_links_on_spread_points(spark):
+    from pyspark.sql import functions as F
+    rnd = random.Random(8)
+    def spread():
+        return math.degrees(math.asin(rnd.uniform(-1, 1))), rnd.uniform(-180, 180)
+    events = [(i, 20040110, 7, *spread()) for i in range(60_000)]
+    disasters = [(i, 20040110, 7, *spread()) for i in range(600)]
+    d, s = _facts(spark, disasters, events)
+    links = B.build_bridge(d, s, radius_km=300).count()
+    unit = lambda df: df.withColumns(dict(zip(("x", "y", "z"), B.unit_vector("Latitude", "Longitude"))))
+    at = (F.col("x"), F.col("y"), F.col("z"))
+    pairs = B.candidate_pairs(unit(d).select(F.explode(B.cells_within(at, 300)).alias("c")),
+                              unit(s).select(B.cell(at, 300).alias("c")), ["c"]).agg(F.sum("__pairs")).first()[0]
+    assert links > 10_000 and pairs < 6 * links  # all pairs of the day: 36,000,000
+    salted = B.build_bridge(d, s, radius_km=300, hot_key_rows=200)
+    plan = salted._jdf.queryExecution().executedPlan().toString()
+    assert salted.count() == links and "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
+
+
 def _brute(points, places):
     def hv(a, b, c, d):
         k = math.pi / 180
@@ -134,6 +181,26 @@ def test_nearest_place_matches_brute_force(spark):
     assert got == _brute(points, places)
 
 
+def test_nearest_place_beside_dense_clusters(spark):
+    rnd = random.Random(12)
+    # two cities of places, one of them in ever smaller quarters, copies at one spot, and a few lone ones
+    places = [(i, 10 + rnd.gauss(0, 0.01), 20 + rnd.gauss(0, 0.01)) for i in range(400)]
+    places += [(1000 + i, -45 + 10 ** -(i % 7) * rnd.random(), 179.9999 + 10 ** -(i % 7) * rnd.random()) for i in range(300)]
+    places += [(5000 - i, 60.0, -60.0) for i in range(50)] + [(6000, 89.0, 0.0), (6001, None, 1.0), (6002, float("nan"), 0.0)]
+    points = [(i, 10 + rnd.gauss(0, 0.02), 20 + rnd.gauss(0, 0.02)) for i in range(200)]
+    points += [(300 + i, -45 + 10 ** -(i % 8) * rnd.random(), 179.9999 + 10 ** -(i % 8) * rnd.random()) for i in range(200)]
+    points += [(600 + i, rnd.uniform(-90, 90), rnd.uniform(-180, 180)) for i in range(200)]  # far from both
+    points += [(900, 60.0, -60.0), (901, None, 5.0), (902, float("nan"), 5.0)]
+    pdf = spark.createDataFrame(points, "id int, lat double, lon double")
+    ldf = spark.createDataFrame(places, "place_id int, lat double, lon double")
+    want = _brute([p for p in points if p[0] < 901], [p for p in places if p[0] < 6001])
+    for few in (24, 2):
+        out = G.nearest_place(pdf, ldf, few=few)
+        assert {r.id: r.place_id for r in out.collect()} == want
+    assert "SortAggregate" not in out._jdf.queryExecution().executedPlan().toString()
+    assert G.nearest_place(pdf, ldf.limit(0)).count() == 0 and G.nearest_place(pdf.limit(0), ldf).count() == 0
+
+
 def test_nearest_place_max_km(spark):
     places = spark.createDataFrame([(1, 0.0, 0.0), (2, 40.0, 40.0)], "place_id int, lat double, lon double")
     pts = spark.createDataFrame([(10, 0.5, 0.5), (11, -60.0, -150.0)], "id int, lat double, lon double")

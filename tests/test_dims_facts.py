@@ -152,3 +152,37 @@ def test_promotion_twice_is_once(spark):
     assert sorted(r.StgId for r in p1.dropped.collect()) == [3, 4]
     p2 = FA.fact_seismic(stage, geo, D.magnitude_bands(spark), D.depth_bands(spark), tracker=p1.marks)
     assert p2.marks.count() == 0 and p2.fact.count() == 0
+
+
+def test_band_join_of_many_overlapping_bands_is_an_equi_join(spark):
+    import random
+    rnd = random.Random(6)
+    bands = [(i, float(a), float(a + rnd.choice([0, 0.5, 1, 3, 50, 4000]))) for i, a in enumerate(rnd.uniform(-1000, 1000) for _ in range(700))]
+    bands += [(900, float("-inf"), -999.0), (901, 998.0, float("inf")), (902, None, 3.0), (903, 5.0, 4.0), (904, 7.0, 7.0), (905, 0.0, 2147483647.0), (906, 1e18, 1e18 + 4096)]
+    values = [(i, v) for i, v in enumerate([rnd.uniform(-1100, 1100) for _ in range(300)] + [7.0, 0.0, -0.0, None, 1e18, 1e18 + 2048, 1e300, -1e300, 5e9, bands[3][1], bands[3][2]])]
+    b = spark.createDataFrame(bands, "key int, lo double, hi double")
+    v = spark.createDataFrame(values, "id int, v double")
+    for closed in (False, True):
+        inside = lambda x, lo, hi: lo is not None and x is not None and lo <= x and (x <= hi if closed else x < hi)
+        want = {i: sorted(k for k, lo, hi in bands if inside(x, lo, hi)) for i, x in values}
+        got = {}
+        for r in L.band_join(v, F.col("v"), b, "lo", "hi", "key", closed=closed, form="binned").collect():
+            got.setdefault(r.id, []).append(r.key)
+        assert {i: sorted(k) for i, k in got.items()} == {i: k for i, k in want.items() if k}
+        left = {}
+        for r in L.band_join(v, F.col("v"), b, "lo", "hi", "key", closed=closed, how="left", form="binned").collect():
+            left.setdefault(r.id, []).append(r.key)
+        assert {i: sorted(k) for i, k in left.items() if k != [None]} == {i: k for i, k in want.items() if k}
+        assert set(left) == set(want)
+    import pytest
+    with pytest.raises(ValueError):
+        L.band_join(v, F.col("v"), b, "lo", "hi", "key", form="case")
+
+
+def test_band_join_of_a_hundred_thousand_bands(spark):
+    bands = spark.range(100_000).select(F.col("id").alias("key"), F.col("id").cast("double").alias("lo"), (F.col("id") + 1).cast("double").alias("hi"))
+    values = spark.range(200_000).select("id", (F.col("id") / 2).alias("v"))
+    out = L.band_join(values, F.col("v"), bands, "lo", "hi", "key")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
+    assert out.filter(F.col("key") == F.floor("v")).count() == out.count() == 200_000

@@ -74,16 +74,16 @@ def test_load_runs_are_idempotent(spark):
     from quakehouse.plans import fixtures as FX
     from quakehouse.plans import warehouse as WH
     from quakehouse.plans.catalog_io import _disasters_path, _events_path
-    from quakehouse.plans.load import run_load
+    from quakehouse.plans.load import TABLES, run_load
     from quakehouse.session import scratch_path
     sf = "/root/testdata/sf0.001"
     w = WH.Warehouse(spark, sf)
     root = scratch_path(spark, "load_test")
 
     def load(batch):
-        paths = run_load(spark, _events_path(w), _disasters_path(w), FX.places(spark, sf), w.master,
-                         root, batch_id=batch, as_of=WH.AS_OF)
-        return {n: spark.read.parquet(p).count() for n, p in paths.items() if n != "run_log"}
+        tables = run_load(spark, _events_path(w), _disasters_path(w), FX.places(spark, sf), w.master,
+                          root, batch_id=batch, as_of=WH.AS_OF)
+        return {n: tables.read(n).count() for n in TABLES if n != "volume_alarms"}
 
     first = load(1)
     assert first["fact_seismic"] > 0 and first["bridge"] > 0
@@ -205,9 +205,10 @@ def test_streaming_landing_is_idempotent(spark, tmpdir_path):
         fh.write("\n".join(json.dumps(f) for f in feats))
     places = spark.createDataFrame([(1, 20.0, 12.0, "QA")], "place_id int, lat double, lon double, cc string")
     codes = spark.createDataFrame([("QA", "N00")], "ISO2 string, ISO3 string")
-    stage, rej, ck = (os.path.join(tmpdir_path, n) for n in ("stage", "rej", "ck"))
-    stream_events(spark, land, stage, rej, places, codes, ck).awaitTermination()
-    df = spark.read.parquet(stage)
+    from quakehouse.sources.versions import read_table
+    root, ck = (os.path.join(tmpdir_path, n) for n in ("tables", "ck"))
+    stream_events(spark, land, root, places, codes, ck).awaitTermination()
+    df = read_table(spark, root, "event_stage")
     assert df.count() == 5 and df.select("EventId").distinct().count() == 5
     assert df.filter(F.col("ISO3") != "N00").count() == 0
     # a second file repeating two ids adds only the new one
@@ -215,5 +216,163 @@ def test_streaming_landing_is_idempotent(spark, tmpdir_path):
         more = feats[:2] + [{"type": "Feature", "id": "e9", "properties": {"time": 1, "mag": 4.6},
                              "geometry": {"type": "Point", "coordinates": [1.0, 2.0, 3.0]}}]
         fh.write("\n".join(json.dumps(f) for f in more))
-    stream_events(spark, land, stage, rej, places, codes, ck).awaitTermination()
-    assert spark.read.parquet(stage).count() == 6
+    stream_events(spark, land, root, places, codes, ck).awaitTermination()
+    assert read_table(spark, root, "event_stage").count() == 6
+    # a second stream over the same files is a batch of its own and adds nothing
+    stream_events(spark, land, root, places, codes, ck + "2", name="other").awaitTermination()
+    after = read_table(spark, root, "event_stage")
+    assert after.count() == 6 and after.select("StgId").distinct().count() == 6
+
+
+def test_disaster_csv_files_with_other_headers(spark, tmpdir_path):
+    folder = os.path.join(tmpdir_path, "exports")
+    os.makedirs(folder)
+    parts = {"a.csv": "DisNo.,Country,Start Year\nA-1,Chile,2001\n",
+             "b.csv": "\ufeffStart Year, DisNo. ,Note\n2002,B-1,\"two\nlines\"\n2003,B-2,x\n",
+             "c.csv": "DisNo.,Country,Start Year\nC-1,Peru,2004\n", "empty.csv": ""}
+    for name, text in parts.items():
+        with open(os.path.join(folder, name), "w", encoding="utf-8") as fh:
+            fh.write(text)
+    rows = {r.DisNo: (r.Country, r.StartYear, r.Note) for r in read_disaster_csv(spark, folder).collect()}
+    assert rows == {"A-1": ("Chile", "2001", None), "B-1": (None, "2002", "two\nlines"), "B-2": (None, "2003", "x"),
+                    "C-1": ("Peru", "2004", None)}
+
+
+def _land_years(spark, folder, years):
+    for year, n in years.items():
+        first = dt.datetime(year, 3, 1, tzinfo=dt.timezone.utc).timestamp() * 1000
+        rows = [{"type": "Feature", "id": f"e{year}-{i}", "properties": {"time": int(first) + i, "mag": 5.0, "type": "earthquake"},
+                 "geometry": {"type": "Point", "coordinates": [10.0 + i, 20.0, 5.0]}} for i in range(n)]
+        os.makedirs(os.path.join(folder, f"year={year}"), exist_ok=True)
+        with open(os.path.join(folder, f"year={year}", "part.json"), "w") as fh:
+            fh.write("\n".join(json.dumps(r) for r in rows))
+
+
+def _small_load(spark, tmpdir_path, **how):
+    from quakehouse.plans import warehouse as WH
+    from quakehouse.plans.load import run_load
+    places = spark.createDataFrame([(1, 20.0, 12.0, "QA")], "place_id int, lat double, lon double, cc string")
+    master = WH.Warehouse(spark, "/root/testdata/sf0.001").master
+    return run_load(spark, os.path.join(tmpdir_path, "feed"), os.path.join(tmpdir_path, "dis.csv"), places, master,
+                    os.path.join(tmpdir_path, "house"), as_of=dt.date(2024, 1, 1), **how)
+
+
+def _dangling(t):
+    events = t.read("bridge").join(t.read("fact_seismic"), "SeismicKey", "left_anti").count()
+    disasters = t.read("bridge").join(t.read("fact_disaster"), "DisasterKey", "left_anti").count()
+    codes = t.read("fact_seismic").join(t.read("dim_geography"), "GeographyKey", "left_anti").count()
+    return events + disasters + codes
+
+
+def _disaster_csv(tmpdir_path, ids):
+    with open(os.path.join(tmpdir_path, "dis.csv"), "w") as fh:
+        fh.write("DisNo.,Disaster Type,ISO,Latitude,Longitude,Start Year,Start Month,Start Day\n")
+        fh.writelines(f"{i},Earthquake,N00,20.0,{lon},{y},3,2\n" for i, y, lon in ids)
+
+
+def test_load_resumes_by_its_own_log(spark, tmpdir_path):
+    folder = os.path.join(tmpdir_path, "feed")
+    _land_years(spark, folder, {2001: 3, 2002: 4})
+    _disaster_csv(tmpdir_path, [("D1", 2001, 10.0)])
+    t = _small_load(spark, tmpdir_path, batch_id=1, first_year=2001, today=dt.date(2002, 12, 31))
+    assert t.read("event_stage").count() == 7
+    # finished years are not read again; a later one is, up to today
+    _land_years(spark, folder, {2002: 9, 2003: 5, 2004: 2})
+    t = _small_load(spark, tmpdir_path, batch_id=2, first_year=2001, today=dt.date(2003, 6, 1))
+    assert t.read("event_stage").count() == 7 + 5
+    # the year in progress is read again
+    _land_years(spark, folder, {2003: 8})
+    t = _small_load(spark, tmpdir_path, batch_id=3, first_year=2001, today=dt.date(2003, 7, 1))
+    assert t.read("event_stage").count() == 7 + 8
+    log = spark.read.parquet(os.path.join(tmpdir_path, "house", "run_log"))
+    got = {r.RunId: (r.ExtractFrom, r.ExtractTo, r.RowsExtracted, r.RowsLoaded)
+           for r in log.filter("SourceSystem = 'events' AND Status = 'SUCCESS'").collect()}
+    day = dt.date
+    assert got == {1: (day(2001, 1, 1), day(2002, 12, 31), 7, 7), 2: (day(2003, 1, 1), day(2003, 6, 1), 5, 5),
+                   3: (day(2003, 1, 1), day(2003, 7, 1), 8, 3)}
+    last = spark.range(1).select(I.last_success(I.run_log_latest(log), "events")).first()[0]
+    assert last == day(2003, 7, 1)
+    assert {(r.part, r.n) for r in t.read("volume_alarms").collect()} == {(2001, 3), (2002, 4), (2003, 5), (2003, 8)}
+    # only the folders of the years asked for are scanned
+    feed = read_event_geojson(spark, folder, lines=True, years=(2003, 2003))
+    plan = feed._jdf.queryExecution().executedPlan().toString()
+    assert feed.count() == 8 and "PartitionFilters: [isnotnull(year" in plan
+
+
+def test_rerun_of_an_older_run_keeps_ids_and_leaves_no_dangling_key(spark, tmpdir_path):
+    folder = os.path.join(tmpdir_path, "feed")
+    _land_years(spark, folder, {2001: 4})
+    _disaster_csv(tmpdir_path, [("D1", 2001, 10.0)])
+    first = _small_load(spark, tmpdir_path, batch_id=1)
+    ids = {r.EventId: r.StgId for r in first.read("event_stage").collect()}
+    _land_years(spark, folder, {2000: 3, 2001: 6})
+    _disaster_csv(tmpdir_path, [("D0", 2000, 10.0), ("D1", 2001, 10.0), ("D2", 2001, 11.0)])
+    second = _small_load(spark, tmpdir_path, batch_id=2)
+    after = {r.EventId: r.StgId for r in second.read("event_stage").collect()}
+    assert len(set(after.values())) == len(after) == 9 and ids.items() <= after.items() and _dangling(second) == 0
+    assert second.read("bridge").count() > 0
+    # run 1 again, over what has meanwhile landed: its rows keep their ids
+    again = _small_load(spark, tmpdir_path, batch_id=1)
+    assert {r.EventId: r.StgId for r in again.read("event_stage").collect()} == after
+    assert _dangling(again) == 0 and again.read("bridge").count() == second.read("bridge").count()
+    # run 1 again, from a feed that lost its events: nothing of the earlier attempts stays
+    _land_years(spark, folder, {2000: 0, 2001: 0})
+    empty = _small_load(spark, tmpdir_path, batch_id=1)
+    kept = {r.EventId: r.StgId for r in empty.read("event_stage").collect()}
+    assert set(kept) == set(after) - set(ids) and kept.items() <= after.items()
+    assert _dangling(empty) == 0 and empty.read("fact_seismic").count() == len(kept)
+
+
+def test_load_over_empty_feeds_can_be_read(spark, tmpdir_path):
+    os.makedirs(os.path.join(tmpdir_path, "feed"))
+    with open(os.path.join(tmpdir_path, "feed", "none.json"), "w"):
+        pass
+    _disaster_csv(tmpdir_path, [])
+    t = _small_load(spark, tmpdir_path, batch_id=1)
+    assert all(t.read(n).count() == 0 for n in ("event_stage", "event_rejects", "fact_seismic", "fact_disaster", "bridge"))
+    assert t.read("dim_geography").count() == 1  # the sentinel
+
+
+def test_failed_load_changes_nothing(spark, tmpdir_path, monkeypatch):
+    import pytest
+
+    from quakehouse.plans import load as LD
+    _land_years(spark, os.path.join(tmpdir_path, "feed"), {2001: 4})
+    _disaster_csv(tmpdir_path, [("D1", 2001, 10.0)])
+    before = _small_load(spark, tmpdir_path, batch_id=1)
+    _land_years(spark, os.path.join(tmpdir_path, "feed"), {2001: 9})
+    def lost(*a, **k):
+        raise RuntimeError("executor lost")
+    monkeypatch.setattr(LD.B, "build_bridge", lost)
+    with pytest.raises(RuntimeError):
+        _small_load(spark, tmpdir_path, batch_id=2)
+    from quakehouse.sources.versions import Tables
+    now = Tables(spark, os.path.join(tmpdir_path, "house"))
+    assert now.version == before.version and now.read("event_stage").count() == 4
+    log = I.run_log_latest(spark.read.parquet(os.path.join(tmpdir_path, "house", "run_log")))
+    assert {(r.RunId, r.Status) for r in log.collect()} == {(1, "SUCCESS"), (2, "FAILED")}
+
+
+def test_repair_of_stored_tables(spark, tmpdir_path):
+    from quakehouse.plans.load import repair_disasters
+    from quakehouse.sources.versions import Tables
+    _land_years(spark, os.path.join(tmpdir_path, "feed"), {2001: 4})
+    _disaster_csv(tmpdir_path, [("D1", 2001, 10.0), ("D2", 2001, 11.0)])
+    t = _small_load(spark, tmpdir_path, batch_id=1)
+    facts, links = t.read("fact_disaster").count(), t.read("bridge").count()
+    # the double load: the same rows staged and promoted once more under new ids
+    c = t.change()
+    twice = t.read("disaster_stage")
+    c.put("disaster_stage", twice.withColumn("StgId", F.col("StgId") + 100).withColumn("LoadBatchId", F.lit(7)), 7)
+    fact = t.read("fact_disaster").withColumns({"StgId": F.col("StgId") + 100, "DisasterKey": F.col("DisasterKey") + 100, "LoadBatchId": F.lit(7)})
+    c.put("fact_disaster", fact.select(t.read("fact_disaster").columns), 7)
+    c.commit()
+    assert Tables(spark, t.root).read("fact_disaster").count() == 2 * facts
+    counts = {r.tbl: r.rows_now for r in repair_disasters(spark, t.root).collect()}
+    assert counts == {"STG_Disaster": 2, "FactDisaster": facts, "FactDisaster distinct date+geo+deaths": 1 if facts == 2 else facts,
+                      "BridgeDisasterSeismic": links}
+    now = Tables(spark, t.root)
+    assert _dangling(now) == 0
+    # a re-run after the repair finds everything promoted
+    again = _small_load(spark, tmpdir_path, batch_id=1)
+    assert again.read("fact_disaster").count() == facts and again.read("bridge").count() == links
