@@ -6,20 +6,24 @@ coordinates link to all same-geography events in the window (distance NULL).
 
 Spark has no interval join, and a join on geography alone would pair every
 disaster with every event of a busy country. Instead the *small* side
-(disasters) is exploded into its W + 1 candidate dates and into the space cells
-its circle meets, and the join becomes an equi-join on (geography, date, cell).
+(disasters) is exploded into its W + 1 candidate dates, and the join becomes an
+equi-join on (geography, date). Where a key's pairs are many beside its rows (a
+swarm, a large country), the key is divided in space as well: its rows join on
+(geography, date, cell), so that pairs follow the links and not the square of a
+day's total. The pairs left are a bounded multiple of rows plus links.
 
 Cells are cubes over the 3-D unit vectors of the coordinates, so poles, the date
 line and latitudes past 90 need no case of their own: points within R km are
 within a fixed chord of each other, a cube's side is twice that chord, and a
 disaster takes those of its own and the 26 neighbouring cubes that its ball
-meets and the sphere passes (5.5 on average). Candidate pairs are then some five
-times the links where events are spread evenly, whatever a day's total.
-
-A key can still be hot (an aftershock swarm beside many disasters). Its pairs
-are n events times m disasters, so both are counted - after a semi join, so only
-events of touched days are read - and keys of more pairs than one task should
-form are split: events by a hash, the disasters' copies once per part.
+meets and the sphere passes (5.5 on average; candidates are then some five times
+the links where events are spread evenly).
+
+A divided key can still be hot (an aftershock swarm right beside many
+disasters). Its pairs are n events times m disasters, so both are counted - after
+a semi join, so only events of touched days are read - and keys of more pairs
+than one task should form are split: events by a hash, the disasters' copies once
+per part.
 """
 
 from __future__ import annotations
@@ -50,9 +54,8 @@ WINDOW_DAYS = 3
 YEAR_COLUMN = "DateYear"
 # A cell's side as a multiple of the radius' chord.
 CELL_PER_RADIUS = 2.0
-# Hot keys that are split at most, the hottest first: the bound of what is broadcast.
-# Keys beyond it are joined unsplit.
-MOST_HOT_KEYS = 100_000
+# A (geography, day) key is divided into cells when it makes more pairs than this a row.
+PAIRS_PER_ROW = 32
 
 
 def with_event_year(fact: DataFrame) -> DataFrame:
@@ -70,40 +73,50 @@ def _radius_chord(radius_km: float) -> float:
     return 2 * math.sin(min(math.pi / 2, (radius_km + 0.001) / (2 * EARTH_RADIUS_KM)))
 
 
-def cell(at: tuple[Column, Column, Column], radius_km: float) -> Column:
-    """The cube of a point of the unit sphere: struct(x, y, z)."""
-    side = CELL_PER_RADIUS * _radius_chord(radius_km)
-    return F.struct(*[F.floor(v / F.lit(side)).cast("int").alias(n) for n, v in zip("xyz", at)])
+_CELL = ["__cx", "__cy", "__cz"]
 
 
-def cells_within(at: tuple[Column, Column, Column], radius_km: float) -> Column:
-    """The cubes that hold any point within ``radius_km`` of a point: array of struct(x, y, z)."""
-    reach = _radius_chord(radius_km) + 1e-9
-    side = CELL_PER_RADIUS * _radius_chord(radius_km)
-    steps = F.array(*[F.array(F.lit(a), F.lit(b), F.lit(c)) for a in (-1, 0, 1) for b in (-1, 0, 1) for c in (-1, 0, 1)])
-    cubes = F.transform(steps, lambda o: F.struct(*[(F.floor(v / F.lit(side)).cast("int") + o[i]).alias(n) for i, (n, v) in enumerate(zip("xyz", at))]))
+def with_cell(df: DataFrame, radius_km: float, divided: Column, lat: str = "__slat", lon: str = "__slon") -> DataFrame:
+    """Add the cube (``__cx``, ``__cy``, ``__cz``) of each row's point; 0, 0, 0 for rows that are not ``divided``."""
+    side = F.lit(CELL_PER_RADIUS * _radius_chord(radius_km))
+    return df.withColumns({c: F.when(divided, F.floor(v / side).cast("int")).otherwise(0)
+                           for c, v in zip(_CELL, unit_vector(lat, lon))})
 
-    def meets(c: Column) -> Column:
-        gap = low = high = F.lit(0.0)
-        for n, v in zip("xyz", at):
-            lo, hi = c[n] * F.lit(side), (c[n] + 1) * F.lit(side)
-            gap += F.pow(F.greatest(lo - v, v - hi, F.lit(0.0)), 2)
-            low += F.when((lo <= 0) & (hi >= 0), F.lit(0.0)).otherwise(F.pow(F.least(F.abs(lo), F.abs(hi)), 2))
-            high += F.pow(F.greatest(F.abs(lo), F.abs(hi)), 2)
-        return (gap <= reach * reach) & (low <= 1 + 1e-9) & (high >= 1 - 1e-9)
 
-    return F.filter(cubes, meets)
+def with_cells_within(df: DataFrame, radius_km: float, divided: Column, lat: str = "__dlat", lon: str = "__dlon") -> DataFrame:
+    """One row per cube that can hold a point within ``radius_km`` of the row's point; one 0, 0, 0 for rows that are not ``divided``."""
+    reach = _radius_chord(radius_km) + 1e-9
+    side = F.lit(CELL_PER_RADIUS * _radius_chord(radius_km))
+    steps = F.array(*[F.struct(*[F.lit(v).alias(n) for n, v in zip("xyz", (a, b, c))])
+                      for a in (-1, 0, 1) for b in (-1, 0, 1) for c in (-1, 0, 1)])
+    at = {f"__u{n}": v for n, v in zip("xyz", unit_vector(lat, lon))}
+    out = (df.withColumns({**at, "__divided": divided})
+           .withColumn("__step", F.explode(F.when(F.col("__divided"), steps).otherwise(F.slice(steps, 1, 1)))))
+    out = out.withColumns({c: F.when(F.col("__divided"), F.floor(F.col(f"__u{n}") / side).cast("int") + F.col(f"__step.{n}")).otherwise(0)
+                           for c, n in zip(_CELL, "xyz")})
+    gap = low = high = F.lit(0.0)
+    for c, n in zip(_CELL, "xyz"):
+        v, lo, hi = F.col(f"__u{n}"), F.col(c) * side, (F.col(c) + 1) * side
+        off, near, far = F.greatest(lo - v, v - hi, F.lit(0.0)), F.least(F.abs(lo), F.abs(hi)), F.greatest(F.abs(lo), F.abs(hi))
+        gap += off * off
+        low += F.when((lo <= 0) & (hi >= 0), F.lit(0.0)).otherwise(near * near)
+        high += far * far
+    # the ball around the point meets the cube, and the sphere passes it
+    meets = (gap <= reach * reach) & (low <= 1 + 1e-9) & (high >= 1 - 1e-9)
+    return out.filter(~F.col("__divided") | meets).drop(*at, "__step", "__divided")
 
 
 def build_bridge(disasters: DataFrame, seismic: DataFrame, existing: DataFrame | None = None,
                  radius_km: float = RADIUS_KM, window_days: int = WINDOW_DAYS,
                  match_on: str = "GeographyKey", dim_geo: DataFrame | None = None,
                  calendar: tuple[_dt.date, _dt.date] = (CALENDAR_START, CALENDAR_END),
-                 hot_key_rows: int | None = None, salts: int | None = None) -> DataFrame:
+                 hot_key_rows: int | None = None, salts: int | None = None,
+                 pairs_per_row: int = PAIRS_PER_ROW) -> DataFrame:
     """New bridge rows (DisasterKey, SeismicKey, DistanceKM, TimeLagDays).
 
     Only disasters without any existing bridge row are (re)matched (J8).
     ``match_on="CountryDurableKey"`` matches across country versions (needs ``dim_geo``).
+    ``pairs_per_row``: (geography, day) keys with more pairs a row are divided into cells.
     ``hot_key_rows``: keys with more candidate pairs (events times disasters) than this
     are split into parts of about so many (``salts``: into so many at most).
     """
@@ -120,15 +133,16 @@ def build_bridge(disasters: DataFrame, seismic: DataFrame, existing: DataFrame |
             key_to_date("StartDate").alias("__start"),
             coord("Latitude").alias("__dlat"), coord("Longitude").alias("__dlon"))
          .filter(F.col("__start").isNotNull())
-         .withColumn("__dcos", cos_lat("__dlat"))
-         .withColumns(dict(zip(("__x", "__y", "__z"), unit_vector("__dlat", "__dlon"))))
-         .withColumn("__cells", cells_within((F.col("__x"), F.col("__y"), F.col("__z")), radius_km))
-         .withColumn("TimeLagDays", F.explode(F.sequence(F.lit(0), F.lit(int(window_days)))))
-         .withColumn("__day", F.date_sub("__start", F.col("TimeLagDays")))
-         # the event date must itself be a calendar member
-         .filter(F.col("__day").between(F.lit(lo), F.lit(hi)))
-         .withColumn("__dk", date_key("__day"))
-         .withColumn("__yr", F.year("__day")))
+         .withColumn("__dcos", cos_lat("__dlat")))
+
+    def days(df: DataFrame) -> DataFrame:
+        return (df.withColumn("TimeLagDays", F.explode(F.sequence(F.lit(0), F.lit(int(window_days)))))
+                .withColumn("__day", F.date_sub("__start", F.col("TimeLagDays")))
+                # the event date must itself be a calendar member
+                .filter(F.col("__day").between(F.lit(lo), F.lit(hi)))
+                .withColumn("__dk", date_key("__day"))
+                .withColumn("__yr", F.year("__day")))
+
     # a seismic fact stored partitioned by event year exposes that column; joining
     # on it as well lets dynamic partition pruning skip years no window touches
     year = F.col(YEAR_COLUMN) if YEAR_COLUMN in ev.columns else (F.col("DateKey") / 10000).cast("int")
@@ -138,16 +152,23 @@ def build_bridge(disasters: DataFrame, seismic: DataFrame, existing: DataFrame |
     keys = ["__geo", "__yr", "__dk"]
     # with coordinates: by day and cell, then by distance (compared in double, rounded to
     # 3 decimals; stored as decimal(10,3))
-    near_d = (d.filter(F.col("__dlat").isNotNull() & F.col("__dlon").isNotNull())
-              .withColumn("__cell", F.explode("__cells")).drop("__cells", "__x", "__y", "__z"))
+    near_d = days(d.filter(F.col("__dlat").isNotNull() & F.col("__dlon").isNotNull()))
     near_s = (s.filter(F.col("__slat").isNotNull() & F.col("__slon").isNotNull())
-              .withColumn("__scos", cos_lat("__slat")).withColumn("__cell", cell(unit_vector("__slat", "__slon"), radius_km)))
-    near_d, near_s, near_keys = _split_hot_keys(near_d, near_s, [*keys, "__cell"], hot_key_rows, salts)
+              .withColumn("__scos", cos_lat("__slat")))
+    rows = F.col("__events") + F.col("__asked")
+    busy = materialize(candidate_pairs(near_d, near_s, keys).filter(F.col("__pairs") > F.lit(pairs_per_row) * rows)
+                       .select(*keys, F.lit(True).alias("__busy")), "bridge_busy_keys")
+    near_keys = keys
+    if not busy.isEmpty():
+        divided = F.coalesce(F.col("__busy"), F.lit(False))
+        near_d = with_cells_within(near_d.join(busy, keys, "left"), radius_km, divided).drop("__busy")
+        near_s = with_cell(near_s.join(busy, keys, "left"), radius_km, divided).drop("__busy")
+        near_d, near_s, near_keys = _split_hot_keys(near_d, near_s, [*keys, *_CELL], hot_key_rows, salts)
     near = (near_d.join(near_s, near_keys)
             .withColumn("__dist", haversine_parts_km("__dlat", "__dlon", "__dcos", "__slat", "__slon", "__scos"))
             .filter(F.col("__dist") <= F.lit(float(radius_km))))
     # without a latitude: every event of the day. Those events are result rows, not mere candidates
-    all_d, all_s, all_keys = _split_hot_keys(d.filter(F.col("__dlat").isNull()), s, keys, hot_key_rows, salts)
+    all_d, all_s, all_keys = _split_hot_keys(days(d.filter(F.col("__dlat").isNull())), s, keys, hot_key_rows, salts)
     everywhere = all_d.join(all_s, all_keys).withColumn("__dist", F.lit(None).cast("double"))
     out = ["DisasterKey", "SeismicKey", F.col("__dist").cast("decimal(10,3)").alias("DistanceKM"),
            F.col("TimeLagDays").cast("int").alias("TimeLagDays")]
@@ -169,14 +190,14 @@ def _split_hot_keys(d: DataFrame, s: DataFrame, keys: list[str], hot_key_rows: i
     parts = F.least(F.ceil(F.col("__pairs") / F.lit(hot_key_rows)), F.col("__events"))
     if salts:
         parts = F.least(parts, F.lit(salts))
-    hot = (candidate_pairs(d, s, keys).filter(F.col("__pairs") > hot_key_rows)
-           .orderBy(F.desc("__pairs")).limit(MOST_HOT_KEYS).select(*keys, parts.cast("int").alias("__parts")))
-    hot = materialize(hot, "bridge_hot_keys")
+    hot = materialize(candidate_pairs(d, s, keys).filter(F.col("__pairs") > hot_key_rows)
+                      .select(*keys, parts.cast("int").alias("__parts")), "bridge_hot_keys")
     if hot.isEmpty():
         return d, s, keys
+    # no forced broadcast: hot keys grow with the rows, and a skewed left join is split by AQE
     salt = F.pmod(F.xxhash64("SeismicKey"), F.coalesce(F.col("__parts"), F.lit(1))).cast("int")
-    s = s.join(F.broadcast(hot), keys, "left").withColumn("__salt", salt).drop("__parts")
-    d = (d.join(F.broadcast(hot), keys, "left")
+    s = s.join(hot, keys, "left").withColumn("__salt", salt).drop("__parts")
+    d = (d.join(hot, keys, "left")
          .withColumn("__salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("__parts"), F.lit(1)) - 1)))
          .drop("__parts"))
     return d, s, [*keys, "__salt"]

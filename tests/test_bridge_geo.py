@@ -105,7 +105,7 @@ def test_bridge_hot_key_split_is_exact(spark):
     from quakehouse.plans.warehouse import Warehouse
     w = Warehouse(spark, "/root/testdata/sf0.001")
     plain = B.build_bridge(w.fact_disaster, w.fact_seismic)
-    salted = B.build_bridge(w.fact_disaster, w.fact_seismic, hot_key_rows=1, salts=4)
+    salted = B.build_bridge(w.fact_disaster, w.fact_seismic, hot_key_rows=1, salts=4, pairs_per_row=0)
     assert salted.count() == plain.count() == 282
     assert salted.exceptAll(plain).count() == 0 and plain.exceptAll(salted).count() == 0
 
@@ -133,8 +133,9 @@ def test_bridge_cells_match_brute_force_at_poles_date_line_and_beyond(spark):
     events = [tuple(round(x, 5) if isinstance(x, float) else x for x in e) for e in events]
     disasters = [tuple(round(x, 5) if isinstance(x, float) else x for x in d) for d in disasters]
     d, s = _facts(spark, disasters, events)
-    for radius in (100.0, 5.0, 30_000.0):
-        got = [(r.DisasterKey, r.SeismicKey) for r in B.build_bridge(d, s, radius_km=radius).collect()]
+    # every key divided into cells, the busier half of them, none
+    for radius, per_row in ((100.0, 0), (5.0, 0), (30_000.0, 0), (100.0, 10), (100.0, 10**6)):
+        got = [(r.DisasterKey, r.SeismicKey) for r in B.build_bridge(d, s, radius_km=radius, pairs_per_row=per_row).collect()]
         assert len(got) == len(set(got)) and set(got) == _hv_links(disasters, events, radius)
 
 
@@ -147,10 +148,9 @@ def test_bridge_candidates_stay_near_the_links_on_spread_points(spark):
     disasters = [(i, 20040110, 7, *spread()) for i in range(600)]
     d, s = _facts(spark, disasters, events)
     links = B.build_bridge(d, s, radius_km=300).count()
-    unit = lambda df: df.withColumns(dict(zip(("x", "y", "z"), B.unit_vector("Latitude", "Longitude"))))
-    at = (F.col("x"), F.col("y"), F.col("z"))
-    pairs = B.candidate_pairs(unit(d).select(F.explode(B.cells_within(at, 300)).alias("c")),
-                              unit(s).select(B.cell(at, 300).alias("c")), ["c"]).agg(F.sum("__pairs")).first()[0]
+    cell = ["__cx", "__cy", "__cz"]
+    pairs = B.candidate_pairs(B.with_cells_within(d, 300, F.lit(True), "Latitude", "Longitude").select(cell),
+                              B.with_cell(s, 300, F.lit(True), "Latitude", "Longitude").select(cell), cell).agg(F.sum("__pairs")).first()[0]
     assert links > 10_000 and pairs < 6 * links  # all pairs of the day: 36,000,000
     salted = B.build_bridge(d, s, radius_km=300, hot_key_rows=200)
     plan = salted._jdf.queryExecution().executedPlan().toString()
