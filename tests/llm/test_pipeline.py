@@ -59,3 +59,13 @@ def test_language_stage_without_labels_keeps_lettered_documents(spark):
 def test_language_stage_keeps_the_table(spark):
     docs = table(spark, "/root/testdata/sf0.01", "documents")
     assert C.language_id(spark, docs, "").count() == docs.filter(docs.text.rlike(r"\p{L}")).count()
+
+
+def test_language_stage_leaves_columns_alone(spark):
+    rows = [(*r, -7.0, "mine", 5, True) for r in corpus()]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, score double, lang_pred string, __sure int, __letter boolean")
+    out = C.language_id(spark, docs, "")
+    assert out.columns == docs.columns
+    kept = out.collect()
+    assert len(kept) > 50 and sorted(map(tuple, kept), key=str) == sorted((r for r in rows if r[0] in {k.doc_id for k in kept}), key=str)
+    assert C.language_id(spark, docs.limit(0), "").count() == 0
