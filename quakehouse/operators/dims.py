@@ -127,8 +127,8 @@ def empty_geography(spark: SparkSession) -> DataFrame:
 
 
 def staged_codes(*code_columns: DataFrame) -> DataFrame:
-    """U-1: distinct union of single-column code frames (NULL codes dropped)."""
-    frames = [df.select(F.col(df.columns[0]).alias("ISO3")) for df in code_columns]
+    """U-1: distinct union of single-column code frames, trimmed and in upper case as the lookup compares them (NULL codes dropped)."""
+    frames = [df.select(F.upper(F.trim(F.col(df.columns[0]).cast("string"))).alias("ISO3")) for df in code_columns]
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f)
@@ -137,7 +137,8 @@ def staged_codes(*code_columns: DataFrame) -> DataFrame:
 
 def known_countries(codes: DataFrame, master: DataFrame) -> DataFrame:
     """Codes that exist in the country master, with the master attributes."""
-    return master.select(*MASTER_COLUMNS).join(codes, "ISO3", "left_semi")
+    wanted = codes.select(F.upper(F.trim("ISO3")).alias("__code"))
+    return master.select(*MASTER_COLUMNS).join(wanted, F.upper(F.trim("ISO3")) == F.col("__code"), "left_semi")
 
 
 def incoming_countries(codes: DataFrame, master: DataFrame, ensure_sentinel: bool = True,

@@ -158,10 +158,11 @@ def disaster_transform(dim_geo: DataFrame, deaths_bands: DataFrame, affected_ban
 def fact_disaster(stage: DataFrame, dim_geo: DataFrame, deaths_bands: DataFrame,
                   affected_bands: DataFrame, dim_date: DataFrame,
                   tracker: DataFrame | None = None, key_mode: str = "stgid",
-                  existing: DataFrame | None = None) -> Promotion:
-    """U3(U5): promote disaster rows with a start year in [1900, 2030]."""
+                  existing: DataFrame | None = None, min_year: int = MIN_YEAR,
+                  max_year: int = MAX_YEAR) -> Promotion:
+    """U3(U5): promote disaster rows with a start year in [min_year, max_year]."""
     y = F.col("StartYear")
-    return promote(stage, tracker, y.isNotNull() & y.between(MIN_YEAR, MAX_YEAR),
+    return promote(stage, tracker, y.isNotNull() & y.between(min_year, max_year),
                    disaster_transform(dim_geo, deaths_bands, affected_bands, dim_date,
                                       key_mode, existing))
 

@@ -25,6 +25,7 @@ FACT_EXCLUDE = {
 }
 # Bucket labels of links per disaster (right-closed edges -1, 0, 1, 5, 10, inf).
 LINK_BUCKETS = ["0", "1", "2-5", "6-10", ">10"]
+LINK_EDGES = [-1.0, 0.0, 1.0, 5.0, 10.0, float("inf")]
 HISTOGRAM_BINS = 30
 # Alarm level for rows per yearly source request.
 VOLUME_ALARM_ROWS = 19_900
@@ -141,6 +142,46 @@ def pk_violations(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
         "dup_groups", "dup_rows")
 
 
+def all_fk_violations(tables: dict[str, DataFrame], keys: Sequence[tuple[str, str, str, str]]) -> DataFrame:
+    """Q9 for a whole list of (fact, fk, dimension, pk): one scan per fact and one join in all.
+
+    Every foreign key of a fact becomes a (fk, value) row, counted before the shuffle, and all
+    of them meet the dimensions' keys in a single anti join.
+    """
+    held, asked = None, None
+    for dim, pk in dict.fromkeys((d, p) for _, _, d, p in keys):
+        one = tables[dim].select(F.lit(f"{dim}.{pk}").alias("__dim"), F.col(pk).cast("bigint").alias("__key"))
+        held = one if held is None else held.unionByName(one)
+    for fact in dict.fromkeys(k[0] for k in keys):
+        mine = [(fk, dim, pk) for f, fk, dim, pk in keys if f == fact]
+        refs = F.array(*[F.struct(F.lit(fk).alias("fk"), F.lit(f"{dim}.{pk}").alias("dim"), F.col(fk).cast("bigint").alias("key"))
+                         for fk, dim, pk in mine])
+        one = (tables[fact].select(F.explode(refs).alias("r")).filter(F.col("r.key").isNotNull())
+               .groupBy(F.lit(fact).alias("table_name"), F.col("r.fk").alias("fk_column"),
+                        F.col("r.dim").alias("__dim"), F.col("r.key").alias("__key")).agg(F.count(F.lit(1)).alias("__n")))
+        asked = one if asked is None else asked.unionByName(one)
+    missing = (asked.join(held, ["__dim", "__key"], "left_anti")
+               .groupBy("table_name", "fk_column").agg(F.sum("__n").alias("violations")))
+    names = asked.sparkSession.createDataFrame([(f, fk) for f, fk, _, _ in keys], "table_name string, fk_column string")
+    return names.join(missing, ["table_name", "fk_column"], "left").select(
+        "table_name", "fk_column", F.coalesce("violations", F.lit(0)).alias("violations"))
+
+
+def all_pk_violations(tables: dict[str, DataFrame], keys: Sequence[tuple[str, Sequence[str]]]) -> DataFrame:
+    """Q10 for a whole list of (table, key columns): one shuffle in all."""
+    rows = None
+    for name, cols in keys:
+        one = tables[name].select(F.lit(name).alias("table_name"), F.lit(",".join(cols)).alias("key_columns"),
+                                  F.to_json(F.struct(*cols), {"ignoreNullFields": "false"}).alias("__key"))
+        rows = one if rows is None else rows.unionByName(one)
+    many = (rows.groupBy("table_name", "key_columns", "__key").count().filter(F.col("count") > 1)
+            .groupBy("table_name", "key_columns").agg(F.count(F.lit(1)).alias("dup_groups"), F.sum("count").alias("dup_rows")))
+    names = rows.sparkSession.createDataFrame([(n, ",".join(c)) for n, c in keys], "table_name string, key_columns string")
+    return names.join(many, ["table_name", "key_columns"], "left").select(
+        "table_name", "key_columns", F.coalesce("dup_groups", F.lit(0)).alias("dup_groups"),
+        F.coalesce("dup_rows", F.lit(0)).alias("dup_rows"))
+
+
 def _per_geo(fact: DataFrame) -> DataFrame:
     return fact.groupBy("GeographyKey").agg(F.count(F.lit(1)).alias("__n"))
 
@@ -202,25 +243,32 @@ def geo_resolution(facts: dict[str, DataFrame], dim_geo: DataFrame,
     return out.select("src", "is_xin", "n", (F.col("n") / tot).alias("share"))
 
 
-def bucket_label(n: Column) -> Column:
-    """Right-closed buckets 0, 1, 2-5, 6-10, >10."""
-    return (F.when(n <= 0, "0").when(n <= 1, "1").when(n <= 5, "2-5")
-            .when(n <= 10, "6-10").otherwise(">10"))
+def count_distinct(df: DataFrame, *keys: str) -> DataFrame:
+    """Number of distinct tuples (NULL counts as a value)."""
+    return df.select(*keys).distinct().agg(F.count(F.lit(1)).alias("n"))
+
+
+def bucket_counts(df: DataFrame, value: str, edges: Sequence[float], labels: Sequence[str]) -> DataFrame:
+    """Rows per right-closed bucket (edges[i], edges[i + 1]], in order, empty buckets as 0.
+
+    NULL and values outside the edges are in no bucket.
+    """
+    if len(edges) != len(labels) + 1 or list(edges) != sorted(edges):
+        raise ValueError("edges must ascend, one more than the labels")
+    v, at = F.col(value), F.lit(None).cast("int")
+    for i in range(len(labels)):
+        at = F.when((v > F.lit(float(edges[i]))) & (v <= F.lit(float(edges[i + 1]))), F.lit(i)).otherwise(at)
+    counts = df.groupBy(at.alias("bucket_order")).agg(F.count(F.lit(1)).alias("n"))
+    names = df.sparkSession.createDataFrame(list(enumerate(labels)), "bucket_order int, bucket string")
+    return (names.join(counts, "bucket_order", "left")
+            .select("bucket_order", "bucket", F.coalesce(F.col("n"), F.lit(0)).alias("n")).orderBy("bucket_order"))
 
 
 def bridge_coverage(disasters: DataFrame, bridge: DataFrame) -> DataFrame:
     """Disasters per link-count bucket, empty buckets shown as 0."""
     from quakehouse.operators.bridge import links_per
-    spark: SparkSession = disasters.sparkSession
-    per = links_per(disasters, bridge)
-    counts = per.groupBy(bucket_label(F.col("n")).alias("bucket")).agg(
-        F.count(F.lit(1)).alias("n_disasters"))
-    labels = spark.createDataFrame([(i, b) for i, b in enumerate(LINK_BUCKETS)],
-                                   "bucket_order int, bucket string")
-    return (labels.join(counts, "bucket", "left")
-            .select("bucket_order", "bucket",
-                    F.coalesce(F.col("n_disasters"), F.lit(0)).alias("n_disasters"))
-            .orderBy("bucket_order"))
+    return (bucket_counts(links_per(disasters, bridge), "n", LINK_EDGES, LINK_BUCKETS)
+            .withColumnRenamed("n", "n_disasters"))
 
 
 def histogram(df: DataFrame, value: str, bins: int = HISTOGRAM_BINS) -> DataFrame:
@@ -262,22 +310,13 @@ def scd2_checks(dim: DataFrame, key: str = "CountryDurableKey") -> DataFrame:
 
 
 # ---------------------------------------------------------------- Q12
-def profile_table(df: DataFrame, name: str, exclude: Sequence[str] | None = None,
-                  rules: dict[str, Column] | None = None,
-                  not_null: Sequence[str] = ()) -> DataFrame:
-    """Fill rates, rule violations and NOT NULL violations of one table in ONE scan.
-
-    Returns long rows (section, check_name, subject, value, status).
-    """
-    return profile_from_partials(table_partials(df, name, exclude, rules, not_null), name)
-
-
 def table_partials(df: DataFrame, name: str, exclude: Sequence[str] | None = None,
                    rules: dict[str, Column] | None = None, not_null: Sequence[str] = (),
-                   by: str | None = None, flags: dict[str, Column] | None = None) -> DataFrame:
-    """The single scan of a table for Q12: all counters, optionally per a low-cardinality key.
+                   by: Sequence[Column | str] = (), flags: dict[str, Column] | None = None,
+                   more: Sequence[Column] = ()) -> DataFrame:
+    """The single scan of a table for Q12: all counters, optionally per low-cardinality keys.
 
-    Grouping by ``by`` (e.g. the geography key) keeps one row per key value, so
+    Grouping by ``by`` (e.g. geography key and year) keeps one row per key value, so
     the same scan also serves per-key checks (sentinel share); hash aggregation
     is partial per task, so even a key holding a third of the rows costs one
     row per task before the shuffle.
@@ -291,7 +330,7 @@ def table_partials(df: DataFrame, name: str, exclude: Sequence[str] | None = Non
     aggs += [F.count_if(F.coalesce(r, F.lit(False))).alias(f"rule::{k}") for k, r in rules.items()]
     aggs += [F.count_if(F.col(f"`{c}`").isNull()).alias(f"null::{c}") for c in not_null]
     aggs += [F.count_if(F.coalesce(f, F.lit(False))).alias(f"flag::{k}") for k, f in flags.items()]
-    return df.groupBy(by).agg(*aggs) if by else df.agg(*aggs)
+    return df.groupBy(*by).agg(*aggs, *more) if by else df.agg(*aggs, *more)
 
 
 def profile_from_partials(partials: DataFrame, name: str) -> DataFrame:
@@ -317,11 +356,15 @@ def profile_from_partials(partials: DataFrame, name: str) -> DataFrame:
 
 
 def quality_metrics(tables: dict[str, DataFrame], stages: dict[str, tuple[DataFrame, str]],
-                    sentinel: str = SENTINEL_ISO) -> DataFrame:
-    """Q12: every check of the report as one long table.
-
-    ``tables`` are the warehouse tables by reference name; ``stages`` maps a
-    staging name to (frame, business key) for the uniqueness checks.
+                    sentinel: str = SENTINEL_ISO, fks: Sequence[tuple[str, str, str, str]] = (),
+                    pks: Sequence[tuple[str, Sequence[str]]] = ()) -> DataFrame:
+    """Q12: every check of the report as one long table (section, check_name, subject, value, status).
+
+    ``tables`` are the warehouse tables by reference name; ``stages`` maps a staging name to
+    (frame, business key) for the uniqueness checks; ``fks`` and ``pks`` list the foreign and
+    unique keys to check (Q9, Q10). Each fact is scanned once for everything that a count per
+    geography and year answers: rows, fill rates, rules, NOT NULL, sentinel share, coverage,
+    years, rankings, tsunami share.
     """
     seis, dis = tables["FactSeismic"], tables["FactDisaster"]
     geo, bridge = tables["DimGeography"], tables["BridgeDisasterSeismic"]
@@ -329,45 +372,54 @@ def quality_metrics(tables: dict[str, DataFrame], stages: dict[str, tuple[DataFr
                "Latitude", "Longitude", "Magnitude", "SeismicDepth"]
     dis_nn = ["DisasterKey", "StartDate", "EndDate", "GeographyKey", "SeverityDeathsKey",
               "SeverityAffectedKey", "Tsunami"]
-    # one scan per fact, grouped by geography key (a few hundred rows); the partials
-    # are written once because several checks read them (otherwise column pruning
-    # would give each use its own, narrower scan of the fact)
-    seis_p = materialize(table_partials(seis, "FactSeismic", rules=seismic_rules(),
-                                        not_null=seis_nn, by="GeographyKey"), "q12_seismic")
-    dis_p = materialize(table_partials(dis, "FactDisaster", rules=disaster_rules(), not_null=dis_nn,
-                                       by="GeographyKey", flags={"Tsunami": F.col("Tsunami") == 1}),
-                        "q12_disaster")
+
+    def scan(df: DataFrame, name: str, date: str, **how) -> DataFrame:
+        # written once, as several checks read it (otherwise column pruning would give each
+        # use its own, narrower scan of the fact)
+        year = F.floor(F.col(date) / 10000).cast("int").alias("__year")
+        span = [F.min(date).alias("__first"), F.max(date).alias("__last")]
+        return materialize(table_partials(df, name, by=("GeographyKey", year), more=span + how.pop("sums", []), **how), f"q12_{name}")
+
+    seis_p = scan(seis, "FactSeismic", "DateKey", rules=seismic_rules(), not_null=seis_nn)
+    dis_p = scan(dis, "FactDisaster", "StartDate", rules=disaster_rules(), not_null=dis_nn,
+                 flags={"Tsunami": F.col("Tsunami") == 1}, sums=[F.sum("TotalDeaths").alias("__deaths")])
     parts = [profile_from_partials(seis_p, "FactSeismic"), profile_from_partials(dis_p, "FactDisaster")]
+
+    def rows(df: DataFrame, section: str, check, subject, value, status=None) -> None:
+        text = lambda x: x if isinstance(x, Column) else F.lit(x)
+        parts.append(df.select(text(section).alias("section"), text(check).alias("check_name"), text(subject).alias("subject"),
+                               value.cast("double").alias("value"),
+                               (F.lit(None).cast("string") if status is None else status).alias("status")))
+
+    passed = lambda c: F.when(F.col(c) == 0, "PASS").otherwise("FAIL")
     others = {k: v for k, v in tables.items() if k not in ("FactSeismic", "FactDisaster")}
-    parts.append(row_counts(others).select(
-        F.lit("counts").alias("section"), F.lit("rows").alias("check_name"),
-        F.col("table_name").alias("subject"), F.col("row_count").cast("double").alias("value"),
-        F.lit(None).cast("string").alias("status")))
-    xin = geo.select("GeographyKey", (F.col("ISO") == sentinel).cast("int").alias("__x"))
+    rows(row_counts(others), "counts", "rows", F.col("table_name"), F.col("row_count"))
+    named = geo.select("GeographyKey", "CountryName", (F.col("ISO") == sentinel).alias("__x"))
     for src, p in (("FactSeismic", seis_p), ("FactDisaster", dis_p)):
-        share = p.join(F.broadcast(xin), "GeographyKey", "left").agg(
-            (F.sum(F.when(F.col("__x") == 1, F.col("__n")).otherwise(0))
-             / F.nullif(F.sum("__n"), F.lit(0))).alias("value"))
-        parts.append(share.select(
-            F.lit("integrity").alias("section"), F.lit("sentinel_share").alias("check_name"),
-            F.lit(src).alias("subject"), F.col("value").cast("double").alias("value"),
-            F.lit(None).cast("string").alias("status")))
-    cov = bridge_coverage(dis, bridge)
-    parts.append(cov.select(
-        F.lit("integrity").alias("section"), F.concat(F.lit("links_"), F.col("bucket")).alias("check_name"),
-        F.lit("BridgeDisasterSeismic").alias("subject"), F.col("n_disasters").cast("double").alias("value"),
-        F.lit(None).cast("string").alias("status")))
+        share = p.join(named, "GeographyKey", "left").agg(
+            (F.sum(F.when(F.col("__x"), F.col("__n")).otherwise(0)) / F.nullif(F.sum("__n"), F.lit(0))).alias("v"))
+        rows(share, "integrity", "sentinel_share", src, F.col("v"))
+        span = p.agg(F.min("__first").alias("first_date_key"), F.max("__last").alias("last_date_key"))
+        rows(_unpivot(span, ["first_date_key", "last_date_key"], "c", "v"), "coverage", F.col("c"), src, F.col("v"))
+        rows(p.filter(F.col("__year").isNotNull()).groupBy("__year").agg(F.sum("__n").alias("n")),
+             "per_year", F.col("__year").cast("string"), src, F.col("n"))
+    for src, p, measure, check in (("FactSeismic", seis_p, "__n", "top_rows"), ("FactDisaster", dis_p, "__deaths", "top_deaths")):
+        top = (p.groupBy("GeographyKey").agg(F.sum(measure).alias("v")).join(named.filter(~F.col("__x")), "GeographyKey")
+               .groupBy("CountryName").agg(F.sum("v").alias("v")).filter(F.col("v").isNotNull())
+               .orderBy(F.desc("v"), "CountryName").limit(10))
+        rows(top, "ranking", F.concat(F.lit(check + " "), F.col("CountryName")), src, F.col("v"))
+    hist = histogram(seis, "Magnitude")
+    rows(hist, "histogram", F.concat(F.lit("magnitude_bin_"), F.col("bin").cast("string")), "FactSeismic", F.col("n"))
+    rows(bridge_coverage(dis, bridge), "integrity", F.concat(F.lit("links_"), F.col("bucket")), "BridgeDisasterSeismic", F.col("n_disasters"))
+    if fks:
+        rows(all_fk_violations(tables, fks), "foreign_key", F.col("fk_column"), F.col("table_name"), F.col("violations"), passed("violations"))
+    if pks:
+        rows(all_pk_violations(tables, pks), "unique_key", F.col("key_columns"), F.col("table_name"), F.col("dup_groups"), passed("dup_groups"))
     for sname, (sdf, skey) in stages.items():
-        parts.append(duplicate_groups(sdf, [skey]).select(
-            F.lit("uniqueness").alias("section"), F.lit(f"duplicate_{skey}").alias("check_name"),
-            F.lit(sname).alias("subject"), F.col("dup_groups").cast("double").alias("value"),
-            F.when(F.col("dup_groups") == 0, "PASS").otherwise("FAIL").alias("status")))
+        rows(duplicate_groups(sdf, [skey]), "uniqueness", f"duplicate_{skey}", sname, F.col("dup_groups"), passed("dup_groups"))
     parts.append(scd2_checks(geo))
-    ts = dis_p.agg((F.sum(F.col("`flag::Tsunami`")) / F.nullif(F.sum("__n"), F.lit(0))).alias("value"))
-    parts.append(ts.select(
-        F.lit("profile").alias("section"), F.lit("tsunami_share").alias("check_name"),
-        F.lit("FactDisaster").alias("subject"), F.col("value").cast("double").alias("value"),
-        F.lit(None).cast("string").alias("status")))
+    ts = dis_p.agg((F.sum(F.col("`flag::Tsunami`")) / F.nullif(F.sum("__n"), F.lit(0))).alias("v"))
+    rows(ts, "profile", "tsunami_share", "FactDisaster", F.col("v"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -67,11 +67,12 @@ def _wh(spark: SparkSession, sf_dir: str) -> Warehouse:
 # ---------------------------------------------------------------- dimensions
 @query("dim_date")
 def dim_date(spark, sf_dir):
-    """Calendar rows of the dates the facts reference."""
+    """Every day of the calendar, with the fact rows that fall on it."""
     w = _wh(spark, sf_dir)
-    used = (w.fact_seismic.select("DateKey")
-            .unionByName(w.fact_disaster.select(F.col("StartDate").alias("DateKey"))))
-    return w.dim_date.join(used, "DateKey", "left_semi")
+    seismic = w.fact_seismic.groupBy("DateKey").agg(F.count(F.lit(1)).alias("n_seismic"))
+    disaster = w.fact_disaster.groupBy(F.col("StartDate").alias("DateKey")).agg(F.count(F.lit(1)).alias("n_disaster"))
+    return (w.dim_date.join(seismic, "DateKey", "left").join(disaster, "DateKey", "left")
+            .fillna(0, ["n_seismic", "n_disaster"]))
 
 
 @query("magnitude_band")

@@ -120,12 +120,7 @@ FK_LIST = [
 @query("fk_violations")
 def fk_violations(spark, sf_dir):
     """Q9: foreign-key violations of the facts and the bridge (constraints re-aimed as checks)."""
-    t = _wh(spark, sf_dir).tables()
-    out = None
-    for fact, fk, dim, pk in FK_LIST:
-        one = Q.fk_violations(t[fact], fk, t[dim], pk, fact)
-        out = one if out is None else out.unionByName(one)
-    return out
+    return Q.all_fk_violations(_wh(spark, sf_dir).tables(), FK_LIST)
 
 
 _SQL_NAMES = {**FACTS_SQL, **OTHER_TABLES_SQL}
@@ -136,24 +131,26 @@ oracle("fk_violations", _union([
 
 PK_LIST = [("FactSeismic", ["SeismicKey"]), ("FactDisaster", ["DisasterKey"]),
            ("BridgeDisasterSeismic", ["DisasterKey", "SeismicKey"]),
-           ("DimGeography", ["GeographyKey"]), ("DimDate", ["DateKey"])]
+           ("DimGeography", ["GeographyKey"]), ("DimDate", ["DateKey"]),
+           ("DimMagnitude", ["MagnitudeKey"]), ("DimSeismicDepth", ["SeismicDepthKey"]),
+           ("DimSeverityDeaths", ["SeverityDeathsKey"]), ("DimSeverityAffected", ["SeverityAffectedKey"]),
+           ("CountryMaster", ["CountryDurableKey"]), ("CountryMaster", ["ISO3"])]
+
+
+_PK_NAMES = {**_SQL_NAMES, "CountryMaster": "master"}
 
 
 @query("pk_violations")
 def pk_violations(spark, sf_dir):
-    """Duplicate primary keys per table."""
-    t = _wh(spark, sf_dir).tables()
-    out = None
-    for name, keys in PK_LIST:
-        one = Q.pk_violations(t[name], keys, name)
-        out = one if out is None else out.unionByName(one)
-    return out
+    """Duplicate primary keys of the nine tables, and the country master's two unique keys."""
+    w = _wh(spark, sf_dir)
+    return Q.all_pk_violations({**w.tables(), "CountryMaster": w.master}, PK_LIST)
 
 
 oracle("pk_violations", _union([
     f"select '{name}' as table_name, '{','.join(keys)}' as key_columns, cast(count(*) as bigint) as dup_groups, "
     f"cast(coalesce(sum(n), 0) as bigint) as dup_rows from "
-    f"(select count(*) as n from {_SQL_NAMES[name]} group by {', '.join(keys)} having count(*) > 1) x"
+    f"(select count(*) as n from {_PK_NAMES[name]} group by {', '.join(keys)} having count(*) > 1) x"
     for name, keys in PK_LIST]))
 
 
@@ -179,12 +176,12 @@ def geo_resolution(spark, sf_dir):
 
 
 oracle("geo_resolution", """
-select src, cast(is_xin as bigint) as is_xin, cast(n as bigint) as n, n / sum(n) over (partition by src) as share from (
-  select src, case when ISO = 'XIN' then 1 else 0 end as is_xin, count(*) as n from (
-    select 'FactSeismic' as src, g.ISO from seismic_fact f join dim_geo g on g.GeographyKey = f.GeographyKey
-    union all
-    select 'FactDisaster' as src, g.ISO from disaster_fact f join dim_geo g on g.GeographyKey = f.GeographyKey) x
-  group by src, case when ISO = 'XIN' then 1 else 0 end) y
+select src, is_xin, cast(sum(k) as bigint) as n, sum(k) / any_value(total) as share
+from (select 'FactSeismic' as src, GeographyKey, count(*) as k, (select count(*) from seismic_fact) as total from seismic_fact group by GeographyKey
+      union all
+      select 'FactDisaster', GeographyKey, count(*), (select count(*) from disaster_fact) from disaster_fact group by GeographyKey) per_key
+join (select GeographyKey, cast(ISO = 'XIN' as bigint) as is_xin from dim_geo) flag using (GeographyKey)
+group by src, is_xin
 """)
 
 
@@ -282,10 +279,10 @@ def top_countries_sum(spark, sf_dir):
 
 
 oracle("top_countries_sum", """
-select g.CountryName, cast(sum(f.TotalDeaths) as bigint) as deaths
-from disaster_fact f join dim_geo g on g.GeographyKey = f.GeographyKey
-where f.TotalDeaths is not null and g.ISO <> 'XIN'
-group by g.CountryName order by deaths desc, g.CountryName limit 10
+select CountryName, cast(sum(k) as bigint) as deaths
+from (select GeographyKey, sum(TotalDeaths) as k from disaster_fact group by GeographyKey) per_key join dim_geo using (GeographyKey)
+where ISO <> 'XIN' group by CountryName having sum(k) is not null
+order by 2 desc, 1 limit 10
 """)
 
 
@@ -293,8 +290,9 @@ group by g.CountryName order by deaths desc, g.CountryName limit 10
 def quality_metrics(spark, sf_dir):
     """Q12: every check of the report as one long (section, check, subject, value, status) table."""
     w = _wh(spark, sf_dir)
-    return Q.quality_metrics(w.tables(), {"event_stage": (w.event_stage, "EventId"),
-                                          "disaster_stage": (w.disaster_stage, "DisNo")})
+    return Q.quality_metrics({**w.tables(), "CountryMaster": w.master},
+                             {"event_stage": (w.event_stage, "EventId"), "disaster_stage": (w.disaster_stage, "DisNo")},
+                             fks=FK_LIST, pks=PK_LIST)
 
 
 def _profile_sql(table: str, name: str, attrs: list[str], rules: dict[str, str], nn: list[str]) -> list[str]:
@@ -316,7 +314,7 @@ _QM_PARTS = (
     _profile_sql("seismic_fact", "FactSeismic", SEIS_ATTRS, SEIS_RULES_SQL, SEIS_NOT_NULL)
     + _profile_sql("disaster_fact", "FactDisaster", DIS_ATTRS, DIS_RULES_SQL, DIS_NOT_NULL)
     + [f"select 'counts', 'rows', '{n}', cast(count(*) as double), cast(null as varchar) from {t}"
-       for n, t in OTHER_TABLES_SQL.items()]
+       for n, t in {**OTHER_TABLES_SQL, "CountryMaster": "master"}.items()]
     + ["""select 'integrity', 'sentinel_share', src,
   cast(sum(case when ISO = 'XIN' then 1 else 0 end) as double) / nullif(count(*), 0), cast(null as varchar) from (
     select 'FactSeismic' as src, g.ISO from seismic_fact f join dim_geo g on g.GeographyKey = f.GeographyKey
@@ -344,4 +342,26 @@ from (select CountryDurableKey, sum(IsCurrent) as c from dim_geo group by Countr
     + ["""select 'profile', 'tsunami_share', 'FactDisaster', cast(count(*) filter (where Tsunami = 1) as double) / count(*),
   cast(null as varchar) from disaster_fact"""]
 )
+_NONE = "cast(null as varchar)"
+_QM_PARTS += [f"select 'coverage', '{check}', '{name}', cast({f}({date}) as double), {_NONE} from {t}"
+              for name, t, date in (("FactSeismic", "seismic_fact", "DateKey"), ("FactDisaster", "disaster_fact", "StartDate"))
+              for check, f in (("first_date_key", "min"), ("last_date_key", "max"))]
+_QM_PARTS += [f"""select 'per_year', cast(c.Year as varchar), '{name}', cast(count(*) as double), {_NONE}
+from calendar c join {t} f on f.{date} = c.DateKey group by c.Year"""
+              for name, t, date in (("FactSeismic", "seismic_fact", "DateKey"), ("FactDisaster", "disaster_fact", "StartDate"))]
+_QM_PARTS += [f"""select * from (select 'ranking', concat('{check} ', CountryName), '{name}', v, {_NONE} from (
+  select CountryName, cast(sum(k) as double) as v from (select GeographyKey, {what} as k from {t} group by GeographyKey) per_key
+  join dim_geo using (GeographyKey) where ISO <> 'XIN' group by CountryName) named
+where v is not null order by v desc, CountryName limit 10)"""
+              for name, t, what, check in (("FactSeismic", "seismic_fact", "count(*)", "top_rows"),
+                                           ("FactDisaster", "disaster_fact", "sum(TotalDeaths)", "top_deaths"))]
+_QM_PARTS += [f"""select 'histogram', concat('magnitude_bin_', cast(b.bin as varchar)), 'FactSeismic', cast(count(f.v) as double), {_NONE}
+from range(30) b(bin) left join (
+  select least(floor((v - mn) * 30.0::double / (mx - mn)), 29) as bin, v
+  from (select cast(Magnitude as double) as v, min(cast(Magnitude as double)) over () as mn, max(cast(Magnitude as double)) over () as mx
+        from seismic_fact) m) f on f.bin = b.bin group by b.bin"""]
+_QM_PARTS += [f"""select 'foreign_key', '{fk}', '{fact}', cast(count(*) as double), case when count(*) = 0 then 'PASS' else 'FAIL' end
+from {_SQL_NAMES[fact]} where {fk} is not null and {fk} not in (select {pk} from {_SQL_NAMES[dim]})""" for fact, fk, dim, pk in FK_LIST]
+_QM_PARTS += [f"""select 'unique_key', '{','.join(keys)}', '{name}', cast(count(*) as double), case when count(*) = 0 then 'PASS' else 'FAIL' end
+from (select 1 from {_PK_NAMES[name]} group by {', '.join(keys)} having count(*) > 1) x""" for name, keys in PK_LIST]
 oracle("quality_metrics", _union(_QM_PARTS))

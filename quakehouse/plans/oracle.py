@@ -136,18 +136,24 @@ from incoming
 """
 CTES["xin_key"] = "select max(GeographyKey) as k from dim_geo where ISO = 'XIN' and IsCurrent = 1"
 
+# Facts in steps of their own: the day, then the member of each dimension, then the measures.
+CTES["current_geo"] = "select ISO as code, max(GeographyKey) as geo from dim_geo where IsCurrent = 1 group by ISO"
+CTES["event_days"] = "select *, try_cast(left(SrcTime, 10) as date) as day from event_stage"
+CTES["event_members"] = """
+select StgId,
+  (select geo from current_geo where code = ISO3) as geo,
+  (select min(MagnitudeKey) from mag_bands where cast(Mag as decimal(4,2)) >= LowerBound and cast(Mag as decimal(4,2)) < UpperBound) as mag_key,
+  (select min(SeismicDepthKey) from depth_bands where coalesce(Depth, 0) >= LowerBoundKM and coalesce(Depth, 0) < UpperBoundKM) as deep_key
+from event_stage
+"""
 CTES["seismic_fact"] = f"""
-select s.StgId as SeismicKey, s.StgId, {dkey('s.dt')} as DateKey,
-  coalesce(g.GeographyKey, (select k from xin_key)) as GeographyKey, m.MagnitudeKey, d.SeismicDepthKey,
-  cast(s.Latitude as decimal(8,5)) as Latitude, cast(s.Longitude as decimal(9,5)) as Longitude,
-  cast(s.Mag as decimal(4,2)) as Magnitude, cast(s.Depth as decimal(7,2)) as SeismicDepth,
-  cast(s.Mmi as decimal(4,2)) as ModifiedMercalliIntensity, s.Sig as SignificanceScore,
-  cast(s.Cdi as decimal(3,1)) as CommunityDecimalIntensity
-from (select *, try_cast(left(SrcTime, 10) as date) as dt from event_stage) s
-left join dim_geo g on g.ISO = s.ISO3 and g.IsCurrent = 1
-join mag_bands m on cast(s.Mag as decimal(4,2)) >= m.LowerBound and cast(s.Mag as decimal(4,2)) < m.UpperBound
-join depth_bands d on coalesce(s.Depth, 0) >= d.LowerBoundKM and coalesce(s.Depth, 0) < d.UpperBoundKM
-where s.dt is not null
+select StgId as SeismicKey, StgId, {dkey('day')} as DateKey, coalesce(geo, (select k from xin_key)) as GeographyKey,
+  mag_key as MagnitudeKey, deep_key as SeismicDepthKey,
+  Latitude::decimal(8,5) as Latitude, Longitude::decimal(9,5) as Longitude, Mag::decimal(4,2) as Magnitude,
+  Depth::decimal(7,2) as SeismicDepth, Mmi::decimal(4,2) as ModifiedMercalliIntensity, Sig as SignificanceScore,
+  Cdi::decimal(3,1) as CommunityDecimalIntensity
+from event_days join event_members using (StgId)
+where day is not null and mag_key is not null and deep_key is not null
 """
 CTES["seismic_marks"] = f"""
 select StgId from event_stage where try_cast(left(SrcTime, 10) as date) is not null
@@ -160,25 +166,27 @@ _END = make_date("coalesce(e.EndYear, e.StartYear)", "coalesce(e.EndMonth, e.Sta
 CTES["disaster_dates"] = f"""
 select e.*, {_START} as sdate, {_END} as edate from disaster_stage e
 """
+CTES["disaster_members"] = """
+select StgId,
+  (select geo from current_geo where code = ISO) as geo,
+  (select min(SeverityDeathsKey) from deaths_bands where coalesce(TotalDeaths, 0) between LowerBound and UpperBound) as deadly,
+  (select min(SeverityAffectedKey) from affected_bands where coalesce(TotalAffected, 0) between LowerBound and UpperBound) as wide
+from disaster_stage
+"""
+# of a known total the parts default to 0; of an unknown one they are unknown
+CTES["casualties"] = """
+select StgId, coalesce(NoInjured, 0) as hurt, coalesce(NoAffected - coalesce(NoInjured, 0) - coalesce(NoHomeless, 0), 0) as rest,
+  coalesce(NoHomeless, 0) as homeless
+from disaster_stage where TotalAffected is not null
+"""
 CTES["disaster_fact"] = f"""
-select e.StgId as DisasterKey, e.StgId, {dkey('e.sdate')} as StartDate, {dkey('e.edate')} as EndDate,
-  coalesce(g.GeographyKey, (select k from xin_key)) as GeographyKey,
-  coalesce(sd.SeverityDeathsKey, 1) as SeverityDeathsKey, coalesce(sa.SeverityAffectedKey, 1) as SeverityAffectedKey,
-  cast(e.Latitude as decimal(8,5)) as Latitude, cast(e.Longitude as decimal(9,5)) as Longitude,
-  date_diff('day', e.sdate, e.edate) as DurationDays,
-  coalesce(e.TotalDeaths, 0) as TotalDeaths, e.TotalAffected,
-  case when e.TotalAffected is null then null else coalesce(e.NoInjured, 0) end as NumInjuries,
-  case when e.TotalAffected is null then null else coalesce(e.NoAffected - coalesce(e.NoInjured, 0) - coalesce(e.NoHomeless, 0), 0) end as NumOtherAffected,
-  case when e.TotalAffected is null then null else coalesce(e.NoHomeless, 0) end as NumHomeless,
-  case when e.TotalDamagesAdj is not null then e.TotalDamagesAdj * 1000 end as TotalDamageAdj,
-  case when e.InsuredDamagesAdj is not null then e.InsuredDamagesAdj * 1000 end as InsuredDamage,
-  e.TsunamiFlag as Tsunami
-from disaster_dates e
-left join dim_geo g on g.ISO = e.ISO and g.IsCurrent = 1
-left join deaths_bands sd on coalesce(e.TotalDeaths, 0) >= sd.LowerBound and coalesce(e.TotalDeaths, 0) <= sd.UpperBound
-left join affected_bands sa on coalesce(e.TotalAffected, 0) >= sa.LowerBound and coalesce(e.TotalAffected, 0) <= sa.UpperBound
-where e.StartYear is not null and e.StartYear between 1900 and 2030
-  and exists (select 1 from calendar c where c.DateKey = {dkey('e.sdate')})
+select StgId as DisasterKey, StgId, {dkey('sdate')} as StartDate, {dkey('edate')} as EndDate,
+  coalesce(geo, (select k from xin_key)) as GeographyKey, coalesce(deadly, 1) as SeverityDeathsKey, coalesce(wide, 1) as SeverityAffectedKey,
+  Latitude::decimal(8,5) as Latitude, Longitude::decimal(9,5) as Longitude, date_diff('day', sdate, edate) as DurationDays,
+  ifnull(TotalDeaths, 0) as TotalDeaths, TotalAffected, hurt as NumInjuries, rest as NumOtherAffected, homeless as NumHomeless,
+  1000 * TotalDamagesAdj as TotalDamageAdj, 1000 * InsuredDamagesAdj as InsuredDamage, TsunamiFlag as Tsunami
+from disaster_dates join disaster_members using (StgId) left join casualties using (StgId)
+where StartYear between 1900 and 2030 and {dkey('sdate')} in (select DateKey from calendar)
 """
 CTES["disaster_marks"] = """
 select StgId from disaster_stage where StartYear is not null and StartYear between 1900 and 2030

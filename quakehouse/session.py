@@ -7,6 +7,7 @@ exist for the entry points (tests, bench, driver contract).
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -43,8 +44,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and scratch tables.
 
     On a cluster this is ``spark.checkpoint.dir`` (a shared filesystem path set
-    by the cluster). Only when it is unset (local runs, tests) do we pick a
-    private folder under the system temp dir and register it.
+    by the cluster); without it we raise, as no machine's own folder is seen by the
+    others. Only a local run (tests) gets a private folder under the system temp dir.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -52,6 +53,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         return current
     conf = spark.conf.get("spark.checkpoint.dir", None)
     if not conf:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         conf = tempfile.mkdtemp(prefix="quakehouse-ckpt-")
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir() or conf

@@ -186,3 +186,23 @@ def test_band_join_of_a_hundred_thousand_bands(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
     assert out.filter(F.col("key") == F.floor("v")).count() == out.count() == 200_000
+
+
+def test_codes_staged_in_lower_case_enter_the_dimension(spark):
+    codes = D.staged_codes(spark.createDataFrame([("n01 ",), ("N02",), (None,)], "c string"), spark.createDataFrame([("N01",)], "c string"))
+    assert sorted(r.ISO3 for r in codes.collect()) == ["N01", "N02"]
+    master = spark.createDataFrame([(1, "XIN", "Waters", "O", "O", None, "L"), (2, "N01", "One", "A", "A", 0.1, "L"), (3, "N03", "Three", "A", "A", 0.1, "L")],
+                                   "CountryDurableKey int, ISO3 string, CountryName string, SubRegion string, Region string, GEM_PGA_g double, GeoSeismicZone string")
+    dim = D.scd2_apply(D.empty_geography(spark), D.incoming_countries(codes, master), dt.date(2024, 1, 1))
+    assert {(r.GeographyKey, r.ISO) for r in dim.collect()} == {(1, "XIN"), (2, "N01")}
+    got = L.lookup_current(spark.createDataFrame([("n01 ",)], "c string"), dim, on="c").first()
+    assert got.GeographyKey == 2
+    # a dimension is numbered without a window over all of its rows
+    assert "Window" not in dim._jdf.queryExecution().executedPlan().toString()
+
+
+def test_disaster_years_are_arguments(spark):
+    from quakehouse.plans.warehouse import Warehouse
+    w = Warehouse(spark, "/root/testdata/sf0.001")
+    few = FA.fact_disaster(w.disaster_stage, w.dim_geo, w.deaths_bands, w.affected_bands, w.dim_date, min_year=1995, max_year=1996)
+    assert few.marks.count() == w.disaster_stage.filter("StartYear BETWEEN 1995 AND 1996").count() > 0

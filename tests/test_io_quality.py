@@ -376,3 +376,22 @@ def test_repair_of_stored_tables(spark, tmpdir_path):
     # a re-run after the repair finds everything promoted
     again = _small_load(spark, tmpdir_path, batch_id=1)
     assert again.read("fact_disaster").count() == facts and again.read("bridge").count() == links
+
+
+def test_bucket_counts_and_count_distinct(spark):
+    import pytest
+    df = spark.createDataFrame([(x, x % 2) for x in (-5, 0, 1, 2, 10, 11)] + [(None, 1), (None, 1)], "v int, w int")
+    got = [(r.bucket, r.n) for r in Q.bucket_counts(df, "v", [-1, 0, 5, 10], ["zero", "few", "many"]).collect()]
+    assert got == [("zero", 1), ("few", 2), ("many", 1)]
+    with pytest.raises(ValueError):
+        Q.bucket_counts(df, "v", [0, 1], ["a", "b"])
+    assert Q.count_distinct(df, "v", "w").first().n == 7 and Q.count_distinct(df.limit(0), "v").first().n == 0
+
+
+def test_key_checks_of_many_tables(spark):
+    t = {"F": spark.createDataFrame([(1, 1, 9), (2, 7, 9), (3, None, 8), (3, 7, None)], "id int, a long, b int"),
+         "A": spark.createDataFrame([(1,), (2,)], "k int"), "B": spark.createDataFrame([(9,)], "k int")}
+    fk = {(r.table_name, r.fk_column): r.violations for r in Q.all_fk_violations(t, [("F", "a", "A", "k"), ("F", "b", "B", "k"), ("F", "id", "A", "k")]).collect()}
+    assert fk == {("F", "a"): 2, ("F", "b"): 1, ("F", "id"): 2}
+    pk = {(r.table_name, r.key_columns): (r.dup_groups, r.dup_rows) for r in Q.all_pk_violations(t, [("F", ["id"]), ("F", ["a", "b"]), ("A", ["k"])]).collect()}
+    assert pk == {("F", "id"): (1, 2), ("F", "a,b"): (0, 0), ("A", "k"): (0, 0)}
