@@ -248,17 +248,23 @@ def count_distinct(df: DataFrame, *keys: str) -> DataFrame:
     return df.select(*keys).distinct().agg(F.count(F.lit(1)).alias("n"))
 
 
+def bucket_label(v: Column, edges: Sequence[float] = LINK_EDGES, labels: Sequence = LINK_BUCKETS) -> Column:
+    """Label of the right-closed bucket (edges[i], edges[i + 1]] that holds v, else NULL."""
+    if len(edges) != len(labels) + 1 or list(edges) != sorted(edges):
+        raise ValueError("edges must ascend, one more than the labels")
+    out = F.lit(None)
+    for i, label in enumerate(labels):
+        out = F.when((v > F.lit(float(edges[i]))) & (v <= F.lit(float(edges[i + 1]))), F.lit(label)).otherwise(out)
+    return out
+
+
 def bucket_counts(df: DataFrame, value: str, edges: Sequence[float], labels: Sequence[str]) -> DataFrame:
     """Rows per right-closed bucket (edges[i], edges[i + 1]], in order, empty buckets as 0.
 
     NULL and values outside the edges are in no bucket.
     """
-    if len(edges) != len(labels) + 1 or list(edges) != sorted(edges):
-        raise ValueError("edges must ascend, one more than the labels")
-    v, at = F.col(value), F.lit(None).cast("int")
-    for i in range(len(labels)):
-        at = F.when((v > F.lit(float(edges[i]))) & (v <= F.lit(float(edges[i + 1]))), F.lit(i)).otherwise(at)
-    counts = df.groupBy(at.alias("bucket_order")).agg(F.count(F.lit(1)).alias("n"))
+    counts = (df.groupBy(bucket_label(F.col(value), edges, range(len(labels))).alias("bucket_order"))
+              .agg(F.count(F.lit(1)).alias("n")))
     names = df.sparkSession.createDataFrame(list(enumerate(labels)), "bucket_order int, bucket string")
     return (names.join(counts, "bucket_order", "left")
             .select("bucket_order", "bucket", F.coalesce(F.col("n"), F.lit(0)).alias("n")).orderBy("bucket_order"))
