@@ -168,15 +168,21 @@ def all_fk_violations(tables: dict[str, DataFrame], keys: Sequence[tuple[str, st
 
 
 def all_pk_violations(tables: dict[str, DataFrame], keys: Sequence[tuple[str, Sequence[str]]]) -> DataFrame:
-    """Q10 for a whole list of (table, key columns): one shuffle in all."""
-    rows = None
+    """Q10 for a whole list of (table, key columns): one shuffle for keys of whole numbers, one for others."""
+    groups: dict[str, DataFrame] = {}
     for name, cols in keys:
-        one = tables[name].select(F.lit(name).alias("table_name"), F.lit(",".join(cols)).alias("key_columns"),
-                                  F.to_json(F.struct(*cols), {"ignoreNullFields": "false"}).alias("__key"))
-        rows = one if rows is None else rows.unionByName(one)
-    many = (rows.groupBy("table_name", "key_columns", "__key").count().filter(F.col("count") > 1)
-            .groupBy("table_name", "key_columns").agg(F.count(F.lit(1)).alias("dup_groups"), F.sum("count").alias("dup_rows")))
-    names = rows.sparkSession.createDataFrame([(n, ",".join(c)) for n, c in keys], "table_name string, key_columns string")
+        df = tables[name]
+        whole = all(df.schema[c].dataType.simpleString() in ("tinyint", "smallint", "int", "bigint") for c in cols)
+        kind = "bigint" if whole else "string"
+        one = df.select(F.lit(name).alias("table_name"), F.lit(",".join(cols)).alias("key_columns"),
+                        F.array(*[F.col(c).cast(kind) for c in cols]).alias("__key"))
+        groups[kind] = groups[kind].unionByName(one) if kind in groups else one
+    many = None
+    for rows in groups.values():
+        one = (rows.groupBy("table_name", "key_columns", "__key").count().filter(F.col("count") > 1)
+               .groupBy("table_name", "key_columns").agg(F.count(F.lit(1)).alias("dup_groups"), F.sum("count").alias("dup_rows")))
+        many = one if many is None else many.unionByName(one)
+    names = many.sparkSession.createDataFrame([(n, ",".join(c)) for n, c in keys], "table_name string, key_columns string")
     return names.join(many, ["table_name", "key_columns"], "left").select(
         "table_name", "key_columns", F.coalesce("dup_groups", F.lit(0)).alias("dup_groups"),
         F.coalesce("dup_rows", F.lit(0)).alias("dup_rows"))
