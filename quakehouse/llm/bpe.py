@@ -3,8 +3,10 @@
 A byte pair that occurs inside no vocabulary token can never be joined by a
 merge, so a cut between its two bytes is certain. A text is cut at all such
 pairs (white space is in no token, so every gap between words is one), the
-fragments are encoded independently and their ids concatenated. Fragments repeat,
-so each Python worker keeps a bounded table of those it has seen.
+fragments are encoded independently and their ids concatenated. Arrow splits a
+batch of texts at ASCII white space and numbers its distinct chunks; each is encoded
+once, and the texts' ids are gathered by those numbers. Words repeat over batches, so
+each Python worker keeps tables of those it has seen, bounded in bytes.
 
 The tokenizer file names its normaliser, its split pattern and its special
 tokens; they are applied to one white-space-free chunk at a time, which gives
@@ -19,8 +21,9 @@ the added ones are replaced.
 from __future__ import annotations
 
 import re
-import struct
+from array import array
 from collections.abc import Iterator
+from itertools import chain
 from operator import concat
 
 import numpy as np
@@ -30,15 +33,13 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 #: what the tokenizer file calls white space (Unicode White_Space)
 SPACE = "\t-\r \x85\xa0  -     　"
-#: separators that str.split() takes for white space and the file does not
-_ODD = re.compile("[\x1c-\x1f]")
 _SPACES = re.compile(f"[{SPACE}]+")
 #: letters and marks that the normaliser only lowers, one by one
 _LATIN = re.compile("[!-~À-ɏ]+")
-#: entries of each generation of a worker's chunk and word tables, and of its table of the first chunks met
-CACHE, HOT = 300_000, 16_000
+#: bytes at which a worker's tables of chunks and words start anew, and what an entry takes beside its key and value
+CACHE, ENTRY = 160_000_000, 160
 #: input rows and bytes handled per output batch
-ROWS, BYTES = 2_000, 4_000_000
+ROWS, BYTES = 10_000, 12_000_000
 
 
 def byte_symbols() -> list[str]:
@@ -56,27 +57,6 @@ _SYMBOLS = dict(enumerate(byte_symbols()))
 _BYTES = {c: b for b, c in _SYMBOLS.items()}
 
 
-class Seen:
-    """A bounded table of two generations: a full young one becomes the old one, hits in the old move back."""
-
-    def __init__(self):
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-
-    def put(self, key: str, value: bytes) -> None:
-        if len(self.young) >= CACHE:
-            self.old, self.young = self.young, {}
-        self.young[key] = value
-
-    def get(self, key: str) -> bytes | None:
-        got = self.young.get(key)
-        if got is None:
-            got = self.old.get(key)
-            if got is not None:
-                self.put(key, got)
-        return got
-
-
 class ForcedBoundaryBPE:
     """Encoder and decoder for a word-end BPE file of the ``tokenizers`` library."""
 
@@ -107,8 +87,15 @@ class ForcedBoundaryBPE:
                        for i in range(len(t) - 1)}
         pattern = next(p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         self.pattern = regex.compile(pattern).findall
-        self.hot: dict[str, bytes] = {}
-        self.chunks, self.words = Seen(), Seen()
+        # marks that the split pattern parts from the letters before them
+        self.marks = {c for c in map(chr, [*range(33, 127), *range(192, 592)])
+                      if not c.isalnum() and self.pattern(f"ab{c}") == ["ab", c]}
+        self.joins = np.zeros((256, 256), bool)
+        for x, y in self.joined:
+            self.joins[_BYTES[x], _BYTES[y]] = True
+        self.chunks: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+        self.held = 0
 
     def fragments(self, word: str) -> list[str]:
         """``word`` (in byte symbols) cut at every pair that no token holds."""
@@ -117,55 +104,73 @@ class ForcedBoundaryBPE:
         cuts = [i + 1 for i in range(len(word) - 1) if word[i:i + 2] not in self.joined]
         return [word[a:b] for a, b in zip([0, *cuts], [*cuts, len(word)])]
 
-    def word_ids(self, word: str) -> bytes:
-        """Ids of one word of the split pattern, given in lower case."""
-        ids = self.words.get(word)
-        if ids is None:
-            symbols = word if word.isascii() and word.isprintable() else word.encode().decode("latin-1").translate(_SYMBOLS)
-            *first, last = self.fragments(symbols)
-            found = [t.id for t in self.end.tokenize(last)]
-            if first:
-                found = [t.id for f in first for t in self.inner.tokenize(f)] + found
-            ids = struct.pack(f"<{len(found)}I", *found)
-            self.words.put(word, ids)
-        return ids
-
-    def chunk_ids(self, chunk: str) -> bytes:
-        """Ids of a text without white space."""
-        out = b""
-        for part in self.special_at.split(chunk) if self.special_at and "<" in chunk else (chunk,):
-            if part in self.special:
-                out += struct.pack("<I", self.special[part])
-            elif _LATIN.fullmatch(part):  # composed letters only: normalising is lowering each character
-                low = part.lower()
-                out += self.word_ids(low) if low.isalpha() else b"".join(map(self.word_ids, self.pattern(low)))
-            elif part:
-                for word, _ in self.split(self.normalize(part)):
-                    out += self.word_ids(self.unsymbol(word))
-        return out
+    def learn(self, words: set[str]) -> None:
+        """Enter the ids of words of the split pattern (in lower case; special tokens behind a line feed) in the table."""
+        words = sorted(words)
+        raw = np.frombuffer("\n".join(words).encode(), np.uint8)
+        cut = ~self.joins[raw[:-1], raw[1:]] & (raw[:-1] != 10) & (raw[1:] != 10)
+        cuts = set(np.cumsum(raw == 10)[:-1][cut].tolist()) if not any(w[0] == "\n" for w in words) else range(len(words))
+        end, inner = self.end.tokenize, self.inner.tokenize
+        for i, word in enumerate(words):
+            if word[0] == "\n":
+                found = [self.special[word[1:]]]
+            else:
+                last = word if word.isascii() and word.isprintable() else word.encode().decode("latin-1").translate(_SYMBOLS)
+                found = []
+                if i in cuts:
+                    *first, last = self.fragments(last)
+                    found = [t.id for f in first for t in inner(f)]
+                found += [t.id for t in end(last)]
+            ids = array("I", found).tobytes()
+            self.held += ENTRY + len(word) + len(ids)
+            self.words[word] = ids
+
+    def parts(self, chunk: str) -> tuple[str, ...]:
+        """The words (as ``learn`` takes them) of a text without ASCII white space."""
+        if _LATIN.fullmatch(chunk) and "<" not in chunk:  # composed letters only: normalising is lowering each character
+            low = chunk.lower()
+            if low.isalpha():
+                return (low,)
+            if low[-1] in self.marks and low[:-1].isalpha():
+                return (low[:-1], low[-1])
+            return tuple(self.pattern(low))
+        out = []
+        for piece in _SPACES.split(chunk):
+            for part in self.special_at.split(piece) if self.special_at and "<" in piece else (piece,):
+                if part in self.special:
+                    out.append("\n" + part)
+                elif part:
+                    out += [self.unsymbol(w) for w, _ in self.split(self.normalize(part))]
+        return tuple(out)
 
     def unsymbol(self, word: str) -> str:
         """The text whose byte symbols are ``word``."""
         return bytes(map(_BYTES.__getitem__, word)).decode()
 
-    def encode(self, text: str | None) -> bytes:
-        """Ids as little-endian unsigned 32-bit integers."""
-        if not text:
-            return b""
-        hot, known, out = self.hot, self.chunks.get, []
-        frequent = hot.get
-        for c in _SPACES.split(text) if _ODD.search(text) else text.split():
-            ids = frequent(c)
-            if ids is None:
-                ids = known(c)
-                if ids is None:
-                    ids = self.chunk_ids(c)
-                    if len(hot) < HOT:
-                        hot[c] = ids
-                    else:
-                        self.chunks.put(c, ids)
-            out.append(ids)
-        return b"".join(out)
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All texts' ids (unsigned 32-bit) in a row, and where each text's begin, with the end; null texts have none."""
+        split = pc.ascii_split_whitespace(texts.fill_null(""))
+        chunks = split.flatten().dictionary_encode()
+        if self.held > CACHE:
+            self.chunks, self.words, self.held = {}, {}, 0
+        names = chunks.dictionary.to_numpy(zero_copy_only=False).tolist()
+        new = [c for c in names if c not in self.chunks]
+        parts = [self.parts(c) for c in new]
+        self.learn(set(chain.from_iterable(parts)).difference(self.words))
+        get = self.words.__getitem__
+        found = [get(p[0]) if len(p) == 1 else b"".join(map(get, p)) for p in parts]
+        self.chunks.update(zip(new, found))
+        self.held += ENTRY * len(new) + sum(map(len, new)) + sum(map(len, found))
+        known = [self.chunks[c] for c in names]
+        sizes = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        index = chunks.indices.to_numpy(zero_copy_only=False)
+        held = sizes[index]
+        ends = np.cumsum(held)
+        total = int(ends[-1]) if len(ends) else 0
+        # an id's place in the distinct chunks' ids: its chunk's first, and how far it is from its chunk's start here
+        at = np.arange(total) + np.repeat((np.cumsum(sizes) - sizes)[index] - (ends - held), held)
+        words = np.concatenate(([0], np.cumsum(split.value_lengths().to_numpy(zero_copy_only=False))))
+        return np.frombuffer(b"".join(known), "<u4")[at], np.concatenate(([0], ends))[words]
 
     def decode(self, ids: bytes) -> str:
         """The tokens' strings with a space between, as the file (which names no decoder) decodes."""
@@ -208,7 +213,8 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids",
         bpe = model(path)
         for whole in batches:
             for b in slices(whole, text):
-                got = [bpe.encode(t) for t in b.column(b.schema.get_field_index(text)).to_pylist()]
+                flat, ends = bpe.encode(b.column(b.schema.get_field_index(text)))
+                got = [flat[i:j].tobytes() for i, j in zip(ends[:-1], ends[1:])]
                 cols = [b.column(b.schema.get_field_index(n)) for n in names] + [pa.array(got, pa.binary())]
                 if decoded:
                     cols.append(pa.array([bpe.decode(x) for x in got], pa.string()))

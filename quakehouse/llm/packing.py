@@ -48,13 +48,14 @@ def pieces(docs: DataFrame, path: str, size: int = SIZE, end: int = END, doc_id:
         for whole in batches:
             for b in bpe.slices(whole, "text"):
                 row, rest = [], []
-                for i, t in enumerate(b.column(1).to_pylist()):
-                    ids = memoryview(model.encode(t) + close)
-                    n = len(ids) // 4
+                flat, ends = model.encode(b.column(1))
+                for i, (first, last) in enumerate(zip(ends[:-1].tolist(), ends[1:].tolist())):
+                    n = last - first + 1
                     for s in range(0, n, size):
-                        part = ids[4 * s:4 * (s + size)]
+                        length = min(size, n - s)
+                        crc = zlib.crc32(flat[first + s:min(first + s + length, last)])
                         row.append(i)
-                        rest.append((s, len(part) // 4, zlib.crc32(part), n))
+                        rest.append((s, length, zlib.crc32(close, crc) if s + length == n else crc, n))
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).take(pa.array(row, pa.int64()))]
                     + [pa.array(c, pa.int64()) for c in zip(*rest)], out.names)
