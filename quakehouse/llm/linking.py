@@ -50,19 +50,26 @@ def components(edges: DataFrame) -> DataFrame:
             .unionByName(current.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()))
 
 
-def resolve(lists: DataFrame, links: Callable[[DataFrame], DataFrame], slack: int = 8) -> DataFrame:
-    """Edges (a, b) whose components are those of all linked pairs that share a key of ``lists`` (key, node).
+def resolve(lists: DataFrame, links: Callable[[DataFrame], DataFrame], slack: int = 8, percent: int = 0) -> DataFrame:
+    """Edges (a, b) whose components are those of all linked pairs that share a key of ``lists`` (key, node[, size]).
 
-    ``links`` takes distinct pairs (a, b), a < b, and returns those that are linked. A round compares at most
-    about ``slack`` times the rows of all lists.
+    ``links`` takes distinct pairs (a, b), a < b, and returns those that are linked; nodes whose sizes are less than
+    ``percent`` of each other cannot be. A round compares at most about ``slack`` times the rows of all lists.
     """
     spark = lists.sparkSession
+    if "size" not in lists.columns:
+        lists = lists.withColumn("size", F.lit(1).cast("long"))
     lists = lists.distinct()
     lists = materialize(lists.join(lists.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key"), "key")
                         .withColumn("component", F.col("node")), "lists")
+
+    def sized(x: str, y: str):
+        return 100 * F.least(x, y) >= percent * F.greatest(x, y)
+
     edges, enough, first = spark.createDataFrame([], "a long, b long"), slack * lists.count(), True
     while True:
-        parts = lists.groupBy("key", "component").agg(F.count("*").alias("k"), F.min("node").alias("pivot"))
+        parts = lists.groupBy("key", "component").agg(F.count("*").alias("k"), F.min(F.struct("node", "size")).alias("first")).select(
+            "key", "component", "k", F.col("first.node").alias("pivot"), F.col("first.size").alias("pivot_size"))
         sizes = (parts.groupBy("key").agg(F.sum("k").alias("n"), F.sum(F.col("k") * F.col("k")).alias("within"), F.count("*").alias("parts"))
                  .filter("parts > 1"))
         rows, left = sizes.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum((F.col("n") * F.col("n") - F.col("within")) / 2), F.lit(0))).first()
@@ -72,17 +79,18 @@ def resolve(lists: DataFrame, links: Callable[[DataFrame], DataFrame], slack: in
         lists = lists.join(sizes.select("key"), "key")
         if last:
             x, y = lists.alias("x"), lists.alias("y")
-            pairs = x.join(y, "key").filter("x.node < y.node and x.component <> y.component").select(
+            pairs = x.join(y, "key").filter("x.node < y.node and x.component <> y.component").filter(sized("x.size", "y.size")).select(
                 F.col("x.node").alias("a"), F.col("y.node").alias("b"))
         else:
             # limited before the shuffle, so a list with very many components is no hot task
             pivots = (parts.withColumn("place", F.row_number().over(Window.partitionBy("key").orderBy("k", "pivot")))
                       .filter(F.col("place") <= (1 if first else max(1, min(MOST_PIVOTS, enough // rows))))
-                      .select("key", "pivot", F.col("component").alias("of")))
+                      .select("key", "pivot", "pivot_size", F.col("component").alias("of")))
             pivots = materialize(pivots, "pivots")
-            pairs = lists.join(pivots, "key").filter("component <> of").select(
+            pairs = lists.join(pivots, "key").filter("component <> of").filter(sized("size", "pivot_size")).select(
                 F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b"))
-        found = materialize(links(pairs.distinct()).select("a", "b"), "links")
+        # written first, so the planner knows whether few enough are left to broadcast
+        found = materialize(links(materialize(pairs.distinct(), "pairs")).select("a", "b"), "links")
         grown = not found.isEmpty()
         if grown:
             edges = materialize(edges.unionByName(found), "edges")
@@ -91,6 +99,6 @@ def resolve(lists: DataFrame, links: Callable[[DataFrame], DataFrame], slack: in
         first = False
         lists = lists.join(pivots.select("key", F.col("pivot").alias("node")), ["key", "node"], "left_anti")
         if grown:
-            lists = (lists.select("key", "node").join(components(edges), "node", "left")
-                     .select("key", "node", F.coalesce("component", "node").alias("component")))
+            lists = (lists.select("key", "node", "size").join(components(edges), "node", "left")
+                     .select("key", "node", "size", F.coalesce("component", "node").alias("component")))
         lists = materialize(lists, "lists")

@@ -2,15 +2,17 @@
 
 1. A text's set is its distinct word shingles; its sketch the k smallest hashes.
    Texts with equal sets (a 128-bit digest of the whole set) are one class.
-2. The sketch values' inverted lists say which classes overlap. Of two sets with
-   Jaccard similarity 0.8, each of the union's k smallest is in both with
-   probability 0.8, so the sketches share fewer than ``least_shared`` of 64 with a
-   chance under 1e-11; sets with at most k shingles are their own sketch and share
-   at least 0.8 of it. So each class needs to be listed only under its rarest
-   values, all but the ``least_shared - 1`` most frequent (prefix filtering):
-   frequent shingles, lines and passages list nobody.
-3. Lists are compared by pivots (``linking``): a pair's union sketch must show the
-   overlap; then the Jaccard similarity of the full sets decides.
+2. Inverted lists say which classes overlap. A vocabulary of a few thousand words
+   gives any two long texts some shingle in common, so a list is kept for ``r``
+   retained values in a row, not for one. Of two sets with Jaccard similarity 0.8, each
+   of the union's k smallest values is in both with probability 0.8, and values in a
+   row of the union that both hold stand in a row in both sketches: of 64, no three in
+   a row are shared with a chance under 1e-9 (``run_length``). Sets with at most k
+   shingles are their own sketch; there ``short_runs`` names the sizes for which fewer
+   in a row are all that is sure, and lists these too, so none of them is missed.
+3. Lists are compared by pivots (``linking``), between sets whose sizes allow the
+   similarity; a pair's union sketch must show the overlap; then the Jaccard
+   similarity of the full sets decides.
 4. Components of the links; the smallest doc_id of each stays.
 
 Defined results: null, empty or blank texts have an empty set and are linked with
@@ -25,7 +27,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from quakehouse.llm import linking
 from quakehouse.llm.words import Words, blocks, shingle_set, texts_of
@@ -34,13 +36,43 @@ from quakehouse.session import materialize
 K, SHINGLE, PERCENT = 64, 2, 80
 
 
-def least_shared(n: int, k: int = K, percent: int = PERCENT) -> int:
-    """Sketch values that a class of n shingles shares with any near duplicate.
+def run_length(k: int = K, percent: int = PERCENT, missed: float = 1e-9) -> int:
+    """The greatest r for which near duplicates' sketches share no r of k union values in a row with a chance under ``missed``."""
+    p, r = percent / 100, 1
+    while True:
+        # none[j]: the chance that j values hold no r + 1 shared ones in a row
+        none = [1.0] * (r + 1)
+        for j in range(r + 1, k + 1):
+            none.append(sum(p ** i * (1 - p) * none[j - i - 1] for i in range(r + 1)))
+        if none[k] >= missed:
+            return r
+        r += 1
 
-    Up to percent of k shingles, both sets are whole: the overlap is at least percent of it. Beyond, the
-    Chernoff bound exp(-k KL(a || p)) for a = 0.4, p = 0.8, k = 64 is 2.5e-11.
+
+def short_runs(k: int = K, percent: int = PERCENT) -> dict[int, list[int]]:
+    """{length: set sizes}: runs under ``run_length`` that sets of these sizes are listed under too.
+
+    A union of u <= k values with s shared ones is cut by u - s others, so s / (u - s + 1) in a row are sure.
     """
-    return math.ceil(n * percent / 100) if 100 * n <= k * percent else int(0.4 * k * percent / 80)
+    out: dict[int, set[int]] = {}
+    for u in range(1, k + 1):
+        shared = math.ceil(u * percent / 100)
+        sure = math.ceil(shared / (u - shared + 1))
+        if shared < u and sure < run_length(k, percent):
+            out.setdefault(sure, set()).update(range(shared, u + 1))
+    return {r: sorted(n) for r, n in sorted(out.items())}
+
+
+def run_keys(sketch: str, size: str, k: int = K, percent: int = PERCENT) -> Column:
+    """The list keys of a sketch: a hash of each run of its values."""
+    def runs(r: int) -> Column:
+        first = F.slice(sketch, 1, F.greatest(F.size(sketch) - (r - 1), F.lit(0)))
+        return F.transform(first, lambda v, i: F.xxhash64(*[F.get(sketch, i + j) for j in range(r)]))
+
+    keys = runs(run_length(k, percent))
+    for r, sizes in short_runs(k, percent).items():
+        keys = F.when(F.col(size).isin(sizes), F.concat(keys, runs(r))).otherwise(keys)
+    return keys
 
 
 def sketches(docs: DataFrame, n: int = SHINGLE, k: int = K, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -145,24 +177,15 @@ def near_duplicates(docs: DataFrame, n: int = SHINGLE, k: int = K, percent: int
         .filter(F.col("doc_id") == F.col("node")).dropDuplicates(["class"])
         .select("node", "n_shingles", "sketch",
                 F.transform("sketch", lambda v: F.shiftright(v, 32).cast("int")).alias("halves")), "classes")
-    listed = nodes.select("node", "n_shingles", F.explode("sketch").alias("key"))
-    often = listed.groupBy("key").agg(F.count("*").alias("df")).filter("df > 1")
-    # a class's values that others hold too; the values it has alone are its rarest
-    shared = (listed.join(often, "key").groupBy("node", "n_shingles")
-              .agg(F.sort_array(F.collect_list(F.struct("df", "key"))).alias("held")))
-    cases = F.when(100 * F.col("n_shingles") <= k * percent, F.ceil(F.col("n_shingles") * percent / 100)).otherwise(least_shared(k + 1, k, percent))
-    # listed under all its values but the least - 1 most frequent
-    lists = shared.withColumn("first", F.size("held") - (cases.cast("int") - 1)).filter("first > 0").select(
-        "node", F.explode(F.slice("held", 1, F.col("first"))).alias("h")).select(F.col("h.key").alias("key"), "node")
-    lists = materialize(lists, "lists")
+    listed = nodes.select("node", F.col("n_shingles").alias("size"), F.explode(run_keys("sketch", "n_shingles", k, percent)).alias("key"))
+    often = listed.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo < hi").select("key")
+    lists = materialize(listed.join(often, "key").select("key", "node", "size"), "lists")
 
     def links(pairs: DataFrame) -> DataFrame:
         def of(end: str, *columns: str) -> DataFrame:
             return nodes.select(F.col("node").alias(end), *[F.col(c).alias(f"{c}_{end}") for c in columns])
 
-        sized = pairs.join(of("a", "n_shingles"), "a").join(of("b", "n_shingles"), "b").filter(
-            100 * F.least("n_shingles_a", "n_shingles_b") >= percent * F.greatest("n_shingles_a", "n_shingles_b")).select("a", "b")
-        drawn = sized.join(of("a", "halves"), "a").join(of("b", "halves"), "b")
+        drawn = pairs.join(of("a", "halves"), "a").join(of("b", "halves"), "b")
         likely = materialize(compared(drawn, "halves_a", "halves_b", plausible(k, percent), ["a", "b"]), "likely")
         ids = likely.select(F.col("a").alias("node")).unionByName(likely.select(F.col("b").alias("node"))).distinct()
         sets = materialize(full_sets(docs, ids, n, doc_id, text), "sets")
@@ -170,7 +193,7 @@ def near_duplicates(docs: DataFrame, n: int = SHINGLE, k: int = K, percent: int
                 .join(sets.select(F.col("node").alias("b"), F.col("set").alias("sb")), "b"))
         return compared(both, "sa", "sb", close(percent), ["a", "b"]).distinct()
 
-    parts = linking.components(linking.resolve(lists, links))
+    parts = linking.components(linking.resolve(lists, links, percent=percent))
     of_class = named.join(parts, "node", "left").select("class", F.coalesce("component", "node").alias("component_id"))
     return (told.join(of_class, "class", "left")
             .select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", F.col("doc_id").cast("long"))).alias("component_id"))
