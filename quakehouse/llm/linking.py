@@ -50,18 +50,21 @@ def components(edges: DataFrame) -> DataFrame:
             .unionByName(current.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()))
 
 
-def resolve(lists: DataFrame, links: Callable[[DataFrame], DataFrame], slack: int = 8, percent: int = 0) -> DataFrame:
+def resolve(lists: DataFrame, links: Callable[[DataFrame], DataFrame], slack: int = 8, percent: int = 0,
+            shared: bool = False) -> DataFrame:
     """Edges (a, b) whose components are those of all linked pairs that share a key of ``lists`` (key, node[, size]).
 
     ``links`` takes distinct pairs (a, b), a < b, and returns those that are linked; nodes whose sizes are less than
-    ``percent`` of each other cannot be. A round compares at most about ``slack`` times the rows of all lists.
+    ``percent`` of each other cannot be. ``shared`` says that the rows are distinct and each key has two or more.
+    A round compares at most about ``slack`` times the rows of all lists.
     """
     spark = lists.sparkSession
     if "size" not in lists.columns:
         lists = lists.withColumn("size", F.lit(1).cast("long"))
-    lists = lists.distinct()
-    lists = materialize(lists.join(lists.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key"), "key")
-                        .withColumn("component", F.col("node")), "lists")
+    if not shared:
+        lists = lists.distinct()
+        lists = materialize(lists.join(lists.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key"), "key"), "lists")
+    lists = lists.withColumn("component", F.col("node"))
 
     def sized(x: str, y: str):
         return 100 * F.least(x, y) >= percent * F.greatest(x, y)

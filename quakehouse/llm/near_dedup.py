@@ -178,9 +178,11 @@ def near_duplicates(docs: DataFrame, n: int = SHINGLE, k: int = K, percent: int
         .select("node", "n_shingles", "sketch",
                 F.transform("sketch", lambda v: F.shiftright(v, 32).cast("int")).alias("halves")), "classes")
     listed = nodes.select("node", F.col("n_shingles").alias("size"), F.explode(run_keys("sketch", "n_shingles", k, percent)).alias("key"))
-    often = listed.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo < hi").select("key")
+    often = listed.groupBy("key").count().filter("count > 1").select("key")  # a sketch's runs differ, so these are of two classes
     lists = materialize(listed.join(often, "key").select("key", "node", "size"), "lists")
 
+    known: list[DataFrame] = []  # the full sets read so far, (node, set)
+
     def links(pairs: DataFrame) -> DataFrame:
         def of(end: str, *columns: str) -> DataFrame:
             return nodes.select(F.col("node").alias(end), *[F.col(c).alias(f"{c}_{end}") for c in columns])
@@ -188,12 +190,18 @@ def near_duplicates(docs: DataFrame, n: int = SHINGLE, k: int = K, percent: int
         drawn = pairs.join(of("a", "halves"), "a").join(of("b", "halves"), "b")
         likely = materialize(compared(drawn, "halves_a", "halves_b", plausible(k, percent), ["a", "b"]), "likely")
         ids = likely.select(F.col("a").alias("node")).unionByName(likely.select(F.col("b").alias("node"))).distinct()
-        sets = materialize(full_sets(docs, ids, n, doc_id, text), "sets")
+        for have in known:
+            ids = ids.join(have.select("node"), "node", "left_anti")
+        # written, so that later rounds' few ids are broadcast if the planner finds them small, and texts stay in place
+        known.append(materialize(full_sets(docs, materialize(ids, "set_ids"), n, doc_id, text), "sets"))
+        sets = known[0]
+        for have in known[1:]:
+            sets = sets.unionByName(have)
         both = (likely.join(sets.select(F.col("node").alias("a"), F.col("set").alias("sa")), "a")
                 .join(sets.select(F.col("node").alias("b"), F.col("set").alias("sb")), "b"))
         return compared(both, "sa", "sb", close(percent), ["a", "b"]).distinct()
 
-    parts = linking.components(linking.resolve(lists, links, percent=percent))
+    parts = linking.components(linking.resolve(lists, links, percent=percent, shared=True))
     of_class = named.join(parts, "node", "left").select("class", F.coalesce("component", "node").alias("component_id"))
     return (told.join(of_class, "class", "left")
             .select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", F.col("doc_id").cast("long"))).alias("component_id"))
