@@ -3,9 +3,11 @@
 import math
 import random
 
+from pyspark.sql import functions as F
 
 from quakehouse.operators import bridge as B
 from quakehouse.operators import geo as G
+from quakehouse.session import materialize
 
 
 def _facts(spark, disasters, events):
@@ -215,3 +217,47 @@ def test_to_iso3(spark):
     df = spark.createDataFrame([(1, "JP"), (2, ""), (3, "ZZ"), (4, None)], "i int, cc string")
     got = {r.i: r.ISO3 for r in G.to_iso3(df, codes).collect()}
     assert got == {1: "JPN", 2: "XIN", 3: "XIN", 4: "XIN"}
+
+
+def test_cubes_around_a_stored_point_repeat_no_sine(spark):
+    """The test of the cubes reads the stored unit vector instead of working it out for each bound."""
+    pts = materialize(B.with_unit_vector(spark.range(300).select(
+        "id", (F.col("id") * 7.3 % 180 - 90).alias("__dlat"), (F.col("id") * 31.7 % 360 - 180).alias("__dlon"))), "pts")
+    out = B.with_cells_within(pts, 100, F.col("id") % 3 != 0)
+    text = out._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert "cos(" not in text and "sin(" not in text
+    got = {}
+    for r in out.collect():
+        got.setdefault(r["id"], set()).add((r["__cx"], r["__cy"], r["__cz"]))
+    reach = B._radius_chord(100) + 1e-9
+    side = B.CELL_PER_RADIUS * B._radius_chord(100)
+    for r in pts.collect():
+        if r["id"] % 3 == 0:
+            assert got[r["id"]] == {(0, 0, 0)}
+            continue
+        u, want = (r["__ux"], r["__uy"], r["__uz"]), set()
+        base = [math.floor(v / side) for v in u]
+        for step in [(a, b, c) for a in (-1, 0, 1) for b in (-1, 0, 1) for c in (-1, 0, 1)]:
+            cell = tuple(b + s for b, s in zip(base, step))
+            lo, hi = [c * side for c in cell], [(c + 1) * side for c in cell]
+            gap = sum(max(l - v, v - h, 0.0) ** 2 for v, l, h in zip(u, lo, hi))
+            low = sum(0.0 if l <= 0 <= h else min(abs(l), abs(h)) ** 2 for l, h in zip(lo, hi))
+            high = sum(max(abs(l), abs(h)) ** 2 for l, h in zip(lo, hi))
+            if gap <= reach * reach and low <= 1 + 1e-9 and high >= 1 - 1e-9:
+                want.add(cell)
+        assert got[r["id"]] == want
+
+
+def test_within_radius_is_the_rounded_distance(spark):
+    """Pairs around the radius, at the poles and the antipodes, and without a number."""
+    from quakehouse.functions.columns import cos_lat, haversine_parts_km
+    i = F.col("id")
+    pairs = spark.range(4000).select(
+        F.when(i == 7, F.lit(float("nan"))).otherwise(F.round(i * 0.37 % 180 - 90, 5)).alias("a"), F.round(i * 1.91 % 360 - 180, 5).alias("b"),
+        F.round(i * 0.37 % 180 - 90 + (i % 200) / 100 - 1, 5).alias("c"), F.round(i * 1.91 % 360 - 180 + (i % 17) / 10, 5).alias("d"))
+    pairs = pairs.withColumns({"ca": cos_lat("a"), "cc": cos_lat("c")})
+    for km in (0.0, 0.0005, 5, 100, 111.195, 9000, 20015.0):
+        names = ("a", "b", "ca", "c", "d", "cc")
+        exact = haversine_parts_km(*names) <= F.lit(float(km))
+        wrong = pairs.filter(~B.within_radius(km, *names).eqNullSafe(exact)).count()
+        assert wrong == 0, km
