@@ -56,6 +56,16 @@ def test_partial_dates(spark):
     assert rows[1]["e"] is None  # Feb 31 -> NULL (rejected), not a failure
 
 
+def test_dates_are_made_from_numbers_not_from_text(spark):
+    rows = [(2000, 2, 29), (1900, 2, 29), (2001, 13, 1), (2001, 0, 1), (2001, 4, 31), (1, 1, 1), (9999, 12, 31), (0, 1, 1),
+            (10000, 1, 1), (None, 1, 1), (2001, None, 1), (2001, 1, None), (-5, 1, 1), (2001, -1, 1), (1582, 10, 10), (2001, 100, 1)]
+    df = spark.createDataFrame(rows, "y int, m int, d int").select("*", C.safe_make_date("y", "m", "d").alias("made"))
+    text = df._jdf.queryExecution().executedPlan().toString()
+    assert "format_string" not in text and "gettimestamp" not in text
+    assert [r.made for r in df.collect()] == [dt.date(2000, 2, 29), None, None, None, None, dt.date(1, 1, 1), dt.date(9999, 12, 31),
+                                              None, None, None, None, None, None, None, dt.date(1582, 10, 10), None]
+
+
 def test_casualty_split(spark):
     df = spark.createDataFrame([(100, 30, 50, 40), (None, 5, None, None)],
                                "total int, inj int, aff int, hom int")
