@@ -203,6 +203,24 @@ def test_nearest_place_beside_dense_clusters(spark):
     assert G.nearest_place(pdf, ldf.limit(0)).count() == 0 and G.nearest_place(pdf.limit(0), ldf).count() == 0
 
 
+def test_nearest_place_sends_a_point_once_however_many_levels(spark):
+    rng = random.Random(5)
+    places = [(i, rng.uniform(-85, 85), rng.uniform(-180, 180)) for i in range(300)] + \
+             [(1000 + i, 40 + rng.uniform(-2, 2), 20 + rng.uniform(-2, 2)) for i in range(300)]
+    points = [(i, rng.uniform(-89, 89), rng.uniform(-180, 180)) for i in range(200)] + \
+             [(1000 + i, 40 + rng.uniform(-2, 2), 20 + rng.uniform(-2, 2)) for i in range(200)]
+    pdf, ldf = spark.createDataFrame(points, "id int, lat double, lon double"), spark.createDataFrame(places, "place_id int, lat double, lon double")
+    pts = materialize(G._located(pdf, "id", "__qid", "lat", "lon"), "pts")
+    spots = materialize(G._located(ldf, "place_id", "__pid", "lat", "lon"), "spots")
+    found, levels, summary = G._finished_cubes(pts, spots, None, G.FEW_PLACES)
+    assert len(levels) > 2 and max(levels) <= G.SUMMARY_LEVEL
+    finished = found.select("level", "qx", "qy", "qz").distinct()
+    sent = G._in_finished(pts, summary, finished, levels)
+    assert sent.count() == sent.join(finished, ["level", "qx", "qy", "qz"], "left_semi").count() == len(points)
+    got = {r.id: r.place_id for r in G.nearest_place(pdf, ldf).collect()}
+    assert got == _brute(points, places)
+
+
 def test_nearest_place_max_km(spark):
     places = spark.createDataFrame([(1, 0.0, 0.0), (2, 40.0, 40.0)], "place_id int, lat double, lon double")
     pts = spark.createDataFrame([(10, 0.5, 0.5), (11, -60.0, -150.0)], "id int, lat double, lon double")
