@@ -64,6 +64,24 @@ def test_assign_keys_matches_row_number(spark):
     assert "SinglePartition" not in plan.split("BroadcastExchange")[0]
 
 
+def test_assign_keys_of_whole_rows_equals_the_join(spark):
+    rows = [(i % 40, None if i % 9 == 0 else f"b{i % 7}", float(i)) for i in range(600)] + [(None, None, -1.0), (None, None, -2.0)]
+    df = spark.createDataFrame(rows, "a int, b string, v double")
+    whole = assign_keys(df, ["a", "b"], name="k", start=5, buckets=7, whole=True)
+    joined = assign_keys(df, ["a", "b"], name="k", start=5, buckets=7)
+    assert whole.columns == joined.columns
+    assert sorted(map(str, whole.collect())) == sorted(map(str, joined.collect()))
+    assert whole.agg(F.max("k"), F.min("k")).first()[:] == (607, 6)
+
+
+def test_event_stage_numbers_its_rows_without_a_join_back(spark):
+    from quakehouse.plans import fixtures as FX
+    stage = FX.event_stage(spark, "/root/testdata/sf0.001")
+    plan = stage._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan  # the offsets, one row per range
+    assert stage.count() == FX.table(spark, "/root/testdata/sf0.001", "lineitem").count() == stage.agg(F.max("StgId")).first()[0]
+
+
 def test_calendar(spark):
     cal = D.dim_date(spark)
     assert cal.count() == 14975
