@@ -395,3 +395,24 @@ def test_key_checks_of_many_tables(spark):
     assert fk == {("F", "a"): 2, ("F", "b"): 1, ("F", "id"): 2}
     pk = {(r.table_name, r.key_columns): (r.dup_groups, r.dup_rows) for r in Q.all_pk_violations(t, [("F", ["id"]), ("F", ["a", "b"]), ("A", ["k"])]).collect()}
     assert pk == {("F", "id"): (1, 2), ("F", "a,b"): (0, 0), ("A", "k"): (0, 0)}
+
+
+def test_export_texts_are_parsed_once_before_ids_are_given_out(spark, tmpdir_path):
+    from quakehouse.operators import staging as ST
+    path = os.path.join(tmpdir_path, "export.csv")
+    with open(path, "w") as f:
+        f.write("DisNo.,Disaster Type,Start Year,ISO\nD2,Earthquake,2001,AAA\nD1, earthquake ,1_999,BBB\nD2,Earthquake,2005,CCC\nD3,Flood,2001,AAA\n,Earthquake,2002,DDD\n")
+    got = ST.ingest_disasters(read_disaster_csv(spark, path), 0)
+    assert any("ingest_disasters_rows" in f for f in got.inputFiles())
+    assert not any("ingest_disasters_batch" in f for f in got.inputFiles())
+    assert sorted((r.DisNo or "", r.StartYear, r.ISO) for r in got.collect()) == [("", 2002, "DDD"), ("D1", 1999, "BBB"), ("D2", 2001, "AAA")]
+    assert sorted(r.StgId for r in got.collect()) == [1, 2, 3]
+
+
+def test_landed_features_are_compressed(spark):
+    from quakehouse.plans import catalog_io as CI
+    from quakehouse.plans.warehouse import Warehouse
+    w = Warehouse(spark, "/root/testdata/sf0.001")
+    feed = read_event_geojson(spark, CI._events_path(w), lines=True)
+    assert all(f.endswith(".txt.gz") for f in feed.inputFiles())
+    assert feed.count() == feed.filter(F.col("id").isNotNull()).count() == w.event_stage.count()
