@@ -1,13 +1,16 @@
 """Spatio-temporal bridge edge rows and the exact nearest-place join."""
 
+import datetime as dt
 import math
 import random
 
 from pyspark.sql import functions as F
 
+from quakehouse.functions.columns import haversine_km, round_km
 from quakehouse.operators import bridge as B
 from quakehouse.operators import geo as G
 from quakehouse.session import materialize
+from tests.conftest import SF_SMALL
 
 
 def _facts(spark, disasters, events):
@@ -279,3 +282,45 @@ def test_within_radius_is_the_rounded_distance(spark):
         exact = haversine_parts_km(*names) <= F.lit(float(km))
         wrong = pairs.filter(~B.within_radius(km, *names).eqNullSafe(exact)).count()
         assert wrong == 0, km
+
+
+def test_keys_within_a_few_cells_are_left_whole(spark, monkeypatch):
+    """400 events and 300 disasters of one degree make many pairs, but cells would only add copies; spread over the earth they are divided."""
+    divided = []
+    cells = B.with_cells_within
+    monkeypatch.setattr(B, "with_cells_within", lambda *a, **k: divided.append(1) or cells(*a, **k))
+
+    def links(degrees):
+        d = spark.range(300).select(F.col("id").alias("DisasterKey"), F.lit(1).alias("GeographyKey"), F.lit(20200110).alias("StartDate"),
+                                    (F.rand(1) * degrees).alias("Latitude"), (F.rand(2) * degrees * 2).alias("Longitude"))
+        s = spark.range(400).select(F.col("id").alias("SeismicKey"), F.lit(1).alias("GeographyKey"), F.lit(20200109).alias("DateKey"),
+                                    (F.rand(3) * degrees).alias("Latitude"), (F.rand(4) * degrees * 2).alias("Longitude"))
+        d, s = materialize(d, "d"), materialize(s, "s")
+        near = d.crossJoin(s.withColumnsRenamed({"Latitude": "sla", "Longitude": "slo"})).withColumn("km", haversine_km(
+            F.round("Latitude", 5), F.round("Longitude", 5), F.round("sla", 5), F.round("slo", 5))).filter("km <= 100")
+        want = {(r.DisasterKey, r.SeismicKey, r.km) for r in near.collect()}
+        got = {(r.DisasterKey, r.SeismicKey, r.DistanceKM) for r in B.build_bridge(d, s, distance="double").collect()}
+        assert got == want and got
+        return len(divided)
+
+    assert links(1) == 0
+    assert links(80) == 1
+
+
+def test_links_of_the_warehouse_are_a_view(spark):
+    """The checks read the links without storing them: they grow with the square of the rows."""
+    from quakehouse.plans import warehouse
+    before = {k for k in warehouse._STORED if k[-1] == "bridge"}
+    w = warehouse.Warehouse(spark, SF_SMALL, as_of=dt.date(2023, 5, 1))
+    assert w.bridge.count() == w.bridge_plan.count()
+    assert {k for k in warehouse._STORED if k[-1] == "bridge"} == before
+    plan = B.without_links(w.fact_disaster, w.bridge)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate [DisasterKey" in plan
+
+
+def test_round_km_is_round(spark):
+    odd = [0.0, 0.0005, 0.0015, 1.0005, 99.9995, 100.0005, 100.00049999, 19999.9995, 0.4999999995, float("nan"), 12.3456789, 0.00049999999]
+    df = materialize(spark.createDataFrame([(x,) for x in odd], "km double").unionByName(
+        spark.range(20000).select((F.rand(5) * 20015).alias("km"))).unionByName(
+        spark.range(20000).select((F.floor(F.rand(6) * 200000) / 2000).alias("km"))), "km")
+    assert df.filter(~round_km("km").eqNullSafe(F.round("km", 3))).count() == 0
