@@ -416,3 +416,26 @@ def test_landed_features_are_compressed(spark):
     feed = read_event_geojson(spark, CI._events_path(w), lines=True)
     assert all(f.endswith(".txt.gz") for f in feed.inputFiles())
     assert feed.count() == feed.filter(F.col("id").isNotNull()).count() == w.event_stage.count()
+
+
+def test_staged_rows_are_stored_before_the_ids_join(spark, tmpdir_path):
+    """Rows and their codes are stored tables by then, so only the ids' join is left in the staged rows (before, five joins in one job)."""
+    import json
+    import os
+
+    from quakehouse.operators import staging as ST
+    from quakehouse.plans import fixtures as FX
+    from quakehouse.plans import warehouse as WH
+    from quakehouse.sources.readers import read_event_geojson
+
+    sf = "/root/testdata/sf0.001"
+    path = os.path.join(tmpdir_path, "few_events.json")
+    with open(path, "w") as fh:
+        for i, (id_, lat) in enumerate([("a", 10.0), ("b", 20.5), ("a", 30.0), (None, 10.0), (None, 95.0)]):
+            fh.write(json.dumps({"type": "Feature", "id": id_, "properties": {"mag": 5.0, "time": i, "type": "earthquake"},
+                                 "geometry": {"type": "Point", "coordinates": [20.0, lat, 10.0]}}) + "\n")
+    got = ST.ingest_events(read_event_geojson(spark, path, lines=True), 1, FX.places(spark, sf), WH.Warehouse(spark, sf).master)
+    assert got.staged._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 1
+    rows = sorted(((r.EventId or "", float(r.Latitude), len(r.ISO3)) for r in got.staged.collect()))
+    assert rows == [("", 10.0, 3), ("a", 10.0, 3), ("b", 20.5, 3)]
+    assert got.rejects.count() == 1
